@@ -114,7 +114,7 @@ def unlogged_duration(duration: Column, last_minute: Column) -> Column:
     return F.greatest(duration - last_minute * 60, F.lit(0))
 
 
-def key_fraction(*keys: str) -> Column:
-    """Repeatable number in [0, 1) from the row key, for splits, folds and samples."""
-    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+def key_fraction(*keys: str, seed: int = 42) -> Column:
+    """Repeatable number in [0, 1) from seed and row key, for splits, folds and samples."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))

@@ -19,12 +19,14 @@ def hashed_rows(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     return df.orderBy(F.md5(text), *keys).limit(n)
 
 
-def hashed_fraction(df: DataFrame, keys: list[str], fraction: float) -> DataFrame:
+def hashed_fraction(df: DataFrame, keys: list[str], fraction: float, seed: int = 42) -> DataFrame:
     """About `fraction` of the rows, chosen by key hash; a filter, so no shuffle."""
-    return df.filter(key_fraction(*keys) < F.lit(float(fraction)))
+    return df.filter(key_fraction(*keys, seed=seed) < F.lit(float(fraction)))
 
 
-def hashed_split(df: DataFrame, keys: list[str], test_size: float = 0.2) -> tuple[DataFrame, DataFrame]:
+def hashed_split(
+    df: DataFrame, keys: list[str], test_size: float = 0.2, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
     """Train and test rows; every row lands in exactly one of them."""
-    spot = key_fraction(*keys)
+    spot = key_fraction(*keys, seed=seed)
     return df.filter(spot >= F.lit(test_size)), df.filter(spot < F.lit(test_size))

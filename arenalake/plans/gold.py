@@ -62,6 +62,17 @@ def named_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def tiered_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
+    """Per player, the ranked items held as `(tier, id)` in that order; at most one per slot."""
+    ranked = current(items).select("item_id", S.tier_rank("item_category").alias("tier")).filter("tier IS NOT NULL")
+    return (
+        snapshot.select(*PLAYER, F.explode(S.held_items(ITEM_SLOTS)).alias("item_id"))
+        .join(ranked, "item_id")
+        .groupBy(*PLAYER)
+        .agg(F.array_sort(F.collect_list(F.struct("tier", F.col("item_id").alias("id")))).alias("items"))
+    )
+
+
 def matchend_player_stats(
     intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
 ) -> DataFrame:

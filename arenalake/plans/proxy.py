@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arenalake.functions import scalars as S
-from arenalake.schemas import ITEM_SLOTS
+from arenalake.schemas import ITEM_SLOTS, RAW_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -142,6 +142,58 @@ def px_raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def px_raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches as they would arrive: text only, team codes, fractional durations, messy bans."""
+    rows = px_matches(spark, sf_dir)
+    number = F.expr("substring(match_id, 4)")
+    return rows.select(
+        F.lower("match_id").alias("match_id"),
+        F.concat(F.col("game_duration").cast("string"), F.lit(".4")).alias("game_duration"),
+        F.lit("14.1").alias("patch_version"),
+        F.when(F.col("winning_team") == "BLUE", "100").when(F.col("winning_team") == "RED", "200")
+        .otherwise("300").alias("winning_team"),
+        F.date_format("game_date", "yyyy-MM-dd HH:mm:ss").alias("game_date"),
+        "game_version",
+        F.lit("CLASSIC").alias("game_mode"),
+        F.lit("420").alias("queue_id"),
+        F.lit("R1").alias("region"),
+        F.translate(F.lower("average_rank"), "-", " ").alias("average_rank"),
+        F.concat(F.col("blue_bans")[0].cast("string"), F.lit(",-1, "), F.col("blue_bans")[1].cast("string")).alias("blue_bans"),
+        F.concat(number, F.lit(",x")).alias("red_bans"),
+    )
+
+
+def px_raw_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots as text; player numbers run over matches and empty slots are '0'."""
+    rows = px_intervals(spark, sf_dir)
+    numbers = [c for c in RAW_COLUMNS["intervals"] if c not in ("id", "match_id", "player_id")]
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit("0")) for c in numbers}
+    return rows.select(
+        F.concat_ws("-", "match_id", F.col("participant_pos_id").cast("string"), F.col("minute").cast("string")).alias("id"),
+        F.lower("match_id").alias("match_id"),
+        (F.col("participant_pos_id") + 10 * F.col("level")).cast("string").alias("player_id"),
+        *[text.alias(name) for name, text in texts.items()],
+    )
+
+
+def px_raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item deliveries: every version as a change row stamped with its start."""
+    return px_items(spark, sf_dir).select(
+        F.concat(F.col("item_id").cast("string"), F.lit(".0")).alias("item_id"),
+        F.upper("item_name").alias("item_name"),
+        F.lower("item_category").alias("item_category"),
+        F.col("__START_AT").alias("ldts"),
+    )
+
+
+def px_raw_champions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return px_champions(spark, sf_dir).select(
+        F.col("champion_id").cast("string").alias("champion_id"),
+        F.lower("champion_name").alias("champion_name"),
+        F.col("__START_AT").alias("ldts"),
+    )
+
+
 SQL: dict[str, str] = {
     "px_matches": """
         SELECT 'PX_' || o_orderkey AS match_id,
@@ -220,13 +272,28 @@ SQL: dict[str, str] = {
                TIMESTAMP '2024-01-03 00:00:00' AS ldts,
                'part-' || participant_pos_id AS file_name, 'feed' AS rsrc
         FROM px_players""",
+    "px_raw_matches": """
+        SELECT lower(match_id) AS match_id, game_duration || '.4' AS game_duration, '14.1' AS patch_version,
+               CASE winning_team WHEN 'BLUE' THEN '100' WHEN 'RED' THEN '200' ELSE '300' END AS winning_team,
+               strftime(game_date, '%Y-%m-%d %H:%M:%S') AS game_date, game_version, 'CLASSIC' AS game_mode,
+               '420' AS queue_id, 'R1' AS region, replace(lower(average_rank), '-', ' ') AS average_rank,
+               blue_bans[1] || ',-1, ' || blue_bans[2] AS blue_bans, substr(match_id, 4) || ',x' AS red_bans
+        FROM px_matches""",
+    "px_raw_intervals": """
+        SELECT match_id || '-' || participant_pos_id || '-' || minute AS id, lower(match_id) AS match_id,
+               CAST(participant_pos_id + 10 * level AS VARCHAR) AS player_id,
+               """ + ", ".join(
+        f"coalesce(CAST({c} AS VARCHAR), '0') AS {c}"
+        for c in RAW_COLUMNS["intervals"] if c not in ("id", "match_id", "player_id")
+    ) + """
+        FROM px_intervals""",
 }
 
 
 def with_px(body: str, *names: str) -> str:
     """Prefix `body` with the definitions of the named proxy tables."""
-    if "px_raw_players" in names and "px_players" not in names:
-        names = ("px_players",) + names
+    sources = {"px_raw_players": "px_players", "px_raw_matches": "px_matches", "px_raw_intervals": "px_intervals"}
+    names += tuple(sources[name] for name in names if name in sources)
     ctes = ",\n".join(f"{name} AS ({SQL[name]})" for name in SQL if name in names)
     body = body.strip()
     if body.upper().startswith("WITH "):

@@ -40,6 +40,7 @@ def build_session(
         if master.startswith("local"):
             builder = (
                 builder.config("spark.ui.enabled", "false")
+                .config("spark.ui.showConsoleProgress", "false")
                 .config("spark.driver.bindAddress", "127.0.0.1")
                 .config("spark.driver.host", "127.0.0.1")
                 .config("spark.driver.memory", "8g")
