@@ -140,11 +140,6 @@ def _pivot(spark, d):
     return gold.matchend_pivot_teamstats(px_intervals(spark, d), px_matches(spark, d))
 
 
-_PIVOT_SQL = with_px(
-    """SELECT i.match_id, max(team_kills) AS most_kills FROM px_intervals i JOIN px_matches m ON m.match_id = i.match_id
-       GROUP BY 1""", "px_intervals", "px_matches")
-
-
 @query("snk02_refreshed_table", with_px(
     "SELECT s.match_id, s.participant_pos_id, s.minute, p.champion_role FROM px_intervals s "
     "JOIN px_players p ON p.match_id = s.match_id AND p.participant_pos_id = s.participant_pos_id",
@@ -210,7 +205,7 @@ def _(spark, d):
     back = tables.read_table(spark, root, "gold", "pivot")
     commented = [f.name for f in back.schema.fields if f.metadata.get("comment")]
     # Only columns whose comment survived the round trip, and the key.
-    return back.select("match_id", *[c for c in ("game_duration", "winning_team") if c in commented or c == "winning_team"])
+    return back.select("match_id", *[c for c in ("game_duration", "winning_team") if c in commented])
 
 
 @query("snk07_clustered_table", with_px(
@@ -429,11 +424,3 @@ def stats_table(spark: SparkSession, d: str) -> DataFrame:
            CAST(median(unlogged_duration) AS DOUBLE) AS median_staleness FROM player_stats""", *_PX_STATS))
 def _(spark, d):
     return quality_summary(stats_table(spark, d), PLAYER).withColumn("stale_pct", F.round("stale_pct", 4))
-
-
-@query("dq07_null_rates", with_px(
-    "WITH t AS (SELECT " + ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 100.0 ELSE 0 END) AS {c}" for c in schemas.ITEM_SLOTS)
-    + f""" FROM px_intervals), u AS (UNPIVOT t ON {", ".join(schemas.ITEM_SLOTS)} INTO NAME column_name VALUE null_pct)
-    SELECT column_name, {round_sql("null_pct", 4)} AS null_pct FROM u WHERE null_pct > 0""", "px_intervals"))
-def _(spark, d):
-    return quality.null_rates(px_intervals(spark, d)).withColumn("null_pct", F.round("null_pct", 4))

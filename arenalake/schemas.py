@@ -141,8 +141,9 @@ GOLD: dict[str, T.StructType] = {
         _field("global_ban_rate", _DBL, "Share of matches with a ban."),
     ]),
     "matchend_pivot_teamstats": T.StructType(
-        [_field("match_id", _STR), _field("game_duration", _INT), _field("game_date", _TS),
-         _field("game_version", _STR), _field("winning_team", _STR), _field("average_rank", _STR)]
+        [_field("match_id", _STR), _field("game_duration", _INT, "Seconds."),
+         _field("game_date", _TS, "End of the match."), _field("game_version", _STR, "Client version."),
+         _field("winning_team", _STR, "BLUE or RED."), _field("average_rank", _STR, "Title case.")]
         + [_field(f"{side}_{name}", _INT, "At the team's last snapshot.")
            for name in PIVOT_MEASURES for side in ("blue", "red")]
         + [_field("winning_gold_diff", _INT, "Gold lead of the winner; negative if behind."),
