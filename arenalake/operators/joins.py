@@ -32,21 +32,27 @@ class HotKeys:
 
     The frequent values come from `freqItems` (at most `1 / support` of them, and every value
     above that share is found), used as a scalar subquery, so nothing is collected to the
-    driver. `spread` belongs on a frame read straight from storage: there the seeded random
-    salt is the same again when a lost task is rerun. The other side must go through
-    `replicate`, and both sides join on the key columns plus `SALT`. The result is exactly
-    that of the plain join.
+    driver. One side goes through `spread`, the other through `replicate`, and both join on the
+    key columns plus `SALT`. The result is exactly that of the plain join.
+
+    The salt is a hash of the row and of the file split it was read from. It does not depend on
+    row order, so a rerun task repeats it, and equal rows still differ by split. Equal rows that
+    share a salt are left to AQE: the salt makes both join inputs plain shuffles it can split.
     """
 
-    def __init__(self, df: DataFrame, key: str, support: float = 0.02, salts: int = 32, seed: int = 7):
-        self.key, self.salts, self.seed = key, salts, seed
+    def __init__(self, df: DataFrame, key: str, support: float = 0.02, salts: int = 32):
+        self.key, self.salts = key, salts
         self._frequent = df.select(key).stat.freqItems([key], support).scalar()
 
     def _is_hot(self) -> Column:
         return F.coalesce(F.array_contains(self._frequent, F.col(self.key)), F.lit(False))
 
-    def spread(self, df: DataFrame) -> DataFrame:
-        salt = F.floor(F.rand(self.seed) * self.salts).cast("int")
+    def spread(self, df: DataFrame, from_scan: bool = True) -> DataFrame:
+        """Add the salt. Pass `from_scan=False` for a frame built from several sources."""
+        parts = [F.col(c) for c in df.columns]
+        if from_scan:
+            parts += [F.input_file_name(), F.input_file_block_start()]
+        salt = F.pmod(F.xxhash64(*parts), F.lit(self.salts)).cast("int")
         return df.withColumn(SALT, F.when(self._is_hot(), salt).otherwise(F.lit(0)))
 
     def replicate(self, df: DataFrame) -> DataFrame:
@@ -54,12 +60,14 @@ class HotKeys:
         return df.withColumn(SALT, F.explode(F.when(self._is_hot(), every).otherwise(F.array(F.lit(0)))))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", from_scan: bool = True
+) -> DataFrame:
     """Equi-join that stays balanced when one value of `on[0]` dominates `left`."""
     hot = HotKeys(left, on[0])
-    return hot.spread(left).join(hot.replicate(right), on + [SALT], how).drop(SALT)
+    return hot.spread(left, from_scan).join(hot.replicate(right), on + [SALT], how).drop(SALT)
 
 
 def trace_back(findings: DataFrame, raw: DataFrame, on: list[str]) -> DataFrame:
     """Attach the raw-layer rows (already carrying cleaned keys) a finding came from."""
-    return spread_join(findings, raw, on)
+    return spread_join(findings, raw, on, from_scan=False)

@@ -12,12 +12,18 @@ def counts(df: DataFrame, keys: list[str], name: str = "cnt", weight: str | None
     return df.groupBy(*keys).agg(total.alias(name))
 
 
-def mode_by(counted: DataFrame, keys: list[str], value: str, cnt: str = "cnt") -> DataFrame:
-    """Most frequent value per key and its share; the smallest value wins a tie."""
+def mode_by(
+    counted: DataFrame, keys: list[str], value: str, cnt: str = "cnt", extra: list[Column] | None = None
+) -> DataFrame:
+    """Most frequent value per key and its share; the smallest value wins a tie.
+
+    `extra` aggregates ride along, so that one pass serves the mode and other totals.
+    """
     best = F.min_by(F.col(value), F.struct((-F.col(cnt)).alias("neg"), F.col(value).alias("v")))
     return counted.groupBy(*keys).agg(
         best.alias(value),
         F.round(F.try_divide(F.max(cnt), F.sum(cnt)), 4).alias("share"),
+        *(extra or []),
     )
 
 

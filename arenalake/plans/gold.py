@@ -141,9 +141,9 @@ def champion_overviews(matches: DataFrame, players: DataFrame, champions: DataFr
             F.sum(F.col("seats") * _for_team("eligible")).alias("wins"),
         )
     )
-    lanes = mode_by(by_role, ["champion_name"], "champion_role")
-    played = by_role.groupBy("champion_name").agg(
-        F.sum("cnt").alias("games"), F.sum("eligible").alias("eligible"), F.sum("wins").alias("wins")
+    played = mode_by(
+        by_role, ["champion_name"], "champion_role",
+        extra=[F.sum("cnt").alias("games"), F.sum("eligible").alias("eligible"), F.sum("wins").alias("wins")],
     )
     bans = (
         distinct_members(matches, "match_id", ["blue_bans", "red_bans"], "champion_id")
@@ -158,7 +158,6 @@ def champion_overviews(matches: DataFrame, players: DataFrame, champions: DataFr
         .filter("champion_id != 0")
         .select("champion_id", "champion_name")
         .join(played, "champion_name", "left")
-        .join(lanes, "champion_name", "left")
         .join(bans, "champion_id", "left")
         .select(
             "champion_id",

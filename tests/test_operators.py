@@ -41,11 +41,23 @@ def test_spread_join_equals_plain_join_on_a_hot_key(spark, how):
 
 
 def test_hot_key_reaches_many_tasks(spark):
-    left = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    left = spark.range(0, 6000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     hot = joins.HotKeys(left, "k")
-    per_salt = hot.spread(left).filter("k = 'hot'").groupBy(joins.SALT).count().collect()
+    spread = hot.spread(left)
+    per_salt = spread.filter("k = 'hot'").groupBy(joins.SALT).count().collect()
     assert len(per_salt) == hot.salts
     assert max(r["count"] for r in per_salt) < 2000 / 8
+    # The salt belongs to the row, whatever order the rows come in.
+    again = hot.spread(left.repartition(7, "id"), from_scan=False)
+    assert again.exceptAll(hot.spread(left, from_scan=False)).count() == 0
+
+
+def test_copies_in_several_files_get_several_salts(spark, tmp_path):
+    path = str(tmp_path / "copies")
+    spark.range(0, 4000, 1, 16).select(F.lit("hot").alias("k"), F.lit(1).alias("v")).write.parquet(path)
+    copies = spark.read.parquet(path)
+    assert joins.HotKeys(copies, "k").spread(copies).select(joins.SALT).distinct().count() > 4
 
 
 def test_unresolved_keeps_null_keys(spark):
