@@ -1,8 +1,9 @@
 """Exact percentiles that never gather a group in one task.
 
-A bounded sketch brackets each wanted rank, one aggregate counts the rows outside the
-brackets and the distinct values inside them, and the exact rank is read off the running
-count of that small table.
+The wanted rank is narrowed down by counting: rows are counted in equal-width bins of their
+group's range, the bin holding the rank becomes the new range, and once a range holds few
+enough rows its distinct values are counted and the rank is read off their running total. Each
+round is one map-side combined aggregate; groups of ordinary size need no round at all.
 """
 
 from __future__ import annotations
@@ -10,82 +11,89 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_ACCURACY = 100_000
+from arenalake.workspace import written
+
+# A range with at most this many rows is ranked value by value.
+_FEW_ROWS = 100_000
+_BINS = 4096
 
 
 def measured(df: DataFrame) -> DataFrame:
-    """Materialise a small aggregate so that the planner sees its true size.
+    """Write a small aggregate once, so that the planner sees its true size and no lineage.
 
     Spark then broadcasts it only if it is under `autoBroadcastJoinThreshold`; a larger one is
-    joined by shuffle. Lost blocks are recomputed from lineage.
+    joined by shuffle.
     """
-    df = df.persist()
-    df.count()
-    return df
+    return written(df, "measured")
 
 
 def exact_percentiles(
-    df: DataFrame, value: str, probs: dict[str, float], by: list[str] | None = None, accuracy: int = _ACCURACY
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    by: list[str] | None = None,
+    few_rows: int = _FEW_ROWS,
+    bins: int = _BINS,
 ) -> DataFrame:
     """Linear-interpolation percentiles of `value`, one column per entry of `probs`.
 
-    NULL values and NULL groups are ignored. Groups of up to `accuracy` rows are counted value
-    by value; in larger groups only the values within the sketch's rank error are.
+    NULL values and NULL groups are ignored.
     """
-    by = by or []
-    margin = 4.0 / accuracy
-    rows = df.select(*by, F.col(value).cast("double").alias("__v")).dropna()
-    brackets: list[float] = []
-    for p in probs.values():
-        brackets += [max(0.0, p - margin), min(1.0, p + margin)]
-
-    sketch = measured(
-        rows.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.percentile_approx("__v", brackets, accuracy).alias("__b"),
-        )
-    )
-    v = F.col("__v")
-    lows = [F.col("__b")[2 * i] for i in range(len(probs))]
-    highs = [F.col("__b")[2 * i + 1] for i in range(len(probs))]
-    inside = F.col("__n") <= accuracy
-    for low, high in zip(lows, highs):
-        inside = inside | v.between(low, high)
-    # A row outside every bracket is filed just behind the last bracket below it.
-    below = F.greatest(F.lit(float("-inf")), *[F.when(v > high, high) for high in highs])
-    spots = _with_sketch(rows, sketch, by).select(
-        *by, "__n", F.when(inside, v).otherwise(below).alias("__at"), (~inside).alias("__outside")
+    groups = by or ["__all"]
+    rows = df if by else df.withColumn("__all", F.lit(0))
+    rows = rows.select(*groups, F.col(value).cast("double").alias("__v")).dropna()
+    spans = rows.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
     )
-    counted = spots.groupBy(*by, "__n", "__at", "__outside").agg(F.count(F.lit(1)).alias("__c"))
-    running = counted.withColumn(
-        "__upto", F.sum("__c").over(Window.partitionBy(*by).orderBy("__at", "__outside"))
+    # Two neighbouring ranks per percentile, each starting with the whole range of its group.
+    spot = lambda p: (F.col("n") - 1) * F.lit(float(p))
+    ranks = [
+        F.struct(F.lit(f"{name}{side}").alias("rank"), pick(spot(p)).alias("k"))
+        for name, p in probs.items() for side, pick in (("_low", F.floor), ("_high", F.ceil))
+    ]
+    targets = measured(spans.select(*groups, "n", "lo", "hi", F.col("n").alias("m"), F.inline(F.array(*ranks))))
+    while targets.filter((F.col("m") > few_rows) & (F.col("lo") < F.col("hi"))).limit(1).count():
+        targets = measured(_narrowed(rows, targets, groups, bins))
+
+    distinct_values = _inside(rows, targets, groups).groupBy(*groups, "lo", "__v").agg(F.count(F.lit(1)).alias("c"))
+    found = _at_rank(distinct_values, targets.select(*groups, "n", "lo", "rank", "k"), groups, "__v")
+    answer = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("__v")))
+    cells = []
+    for name, p in probs.items():
+        low, high = answer(f"{name}_low"), answer(f"{name}_high")
+        cells.append((low + (high - low) * F.max(spot(p) - F.floor(spot(p)))).alias(name))
+    return found.groupBy(*groups).agg(*cells).select(*(by or []), *probs)
+
+
+def _inside(rows: DataFrame, targets: DataFrame, groups: list[str]) -> DataFrame:
+    """Rows within a target range. The ranges of a group are equal or disjoint, so no row repeats."""
+    ranges = targets.select(*groups, "lo", "hi").distinct()
+    return rows.join(ranges, groups).filter(F.col("__v").between(F.col("lo"), F.col("hi")))
+
+
+def _at_rank(counted: DataFrame, targets: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """The counted row each target rank falls into, with the rank counted from that row's start."""
+    running = F.sum("c").over(Window.partitionBy(*groups, "lo").orderBy(order))
+    return (
+        counted.withColumn("upto", running)
+        .join(targets, [*groups, "lo"])
+        .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("c")))
+        .withColumn("k", F.col("k") - F.col("upto") + F.col("c"))
     )
 
-    def at_rank(rank):
-        # First value whose running count passes the 0-based rank.
-        hit = F.min_by(
-            F.struct("__at", "__outside"),
-            F.when(F.col("__upto") > rank, F.struct("__at", "__outside")),
-        )
-        return F.when(hit["__outside"], F.raise_error(F.lit("percentile bracket missed its rank"))).otherwise(
-            hit["__at"]
-        )
 
-    cells = []
-    for name, p in probs.items():
-        spot = (F.col("__n") - 1) * F.lit(float(p))
-        low, high = at_rank(F.floor(spot)), at_rank(F.ceil(spot))
-        part = F.max(spot - F.floor(spot))
-        cells.append((low + (high - low) * part).alias(name))
-    return running.groupBy(*by).agg(*cells)
-
-
-def _with_sketch(rows: DataFrame, sketch: DataFrame, by: list[str]) -> DataFrame:
-    if by:
-        return rows.join(sketch, by)
-    # Without groups the sketch is one row: read it as scalar subqueries.
-    return rows.select(
-        "*", sketch.select("__n").scalar().alias("__n"), sketch.select("__b").scalar().alias("__b")
+def _narrowed(rows: DataFrame, targets: DataFrame, groups: list[str], bins: int) -> DataFrame:
+    """Targets with the smallest range of actual values around each rank."""
+    place = (F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins
+    slot = F.when(F.col("lo") < F.col("hi"), F.least(F.floor(place), F.lit(bins - 1))).otherwise(F.lit(0))
+    counted = (
+        _inside(rows, targets, groups)
+        .groupBy(*groups, "lo", slot.alias("slot"))
+        .agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("new_lo"), F.max("__v").alias("new_hi"))
+    )
+    found = _at_rank(counted, targets.select(*groups, "n", "lo", "rank", "k"), groups, "slot")
+    return found.select(
+        *groups, "n", F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), F.col("c").alias("m"), "rank", "k"
     )
 
 

@@ -107,13 +107,13 @@ def test_key_reports(spark):
     assert rows_of(quality.null_rates(df)) == [("v", 25.0)]
 
 
-@pytest.mark.parametrize("accuracy", [100_000, 50])
-def test_exact_percentiles(spark, accuracy):
+@pytest.mark.parametrize("few_rows,bins", [(100_000, 4096), (20, 4)])
+def test_exact_percentiles(spark, few_rows, bins):
     rng = random.Random(3)
     groups = {"a": [rng.gauss(0, 1) for _ in range(997)], "b": [float(rng.randrange(5)) for _ in range(800)], "c": [4.0], "d": [1.0, 2.0]}
     data = [(g, v) for g, values in groups.items() for v in values] + [("a", None), (None, 1.0)]
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
-    got = quantiles.exact_percentiles(df, "v", {"q1": 0.25, "med": 0.5, "q9": 0.9}, ["g"], accuracy)
+    got = quantiles.exact_percentiles(df, "v", {"q1": 0.25, "med": 0.5, "q9": 0.9}, ["g"], few_rows, bins)
     want = df.dropna().groupBy("g").agg(*[F.percentile("v", p) for p in (0.25, 0.5, 0.9)])
     assert {r[0]: pytest.approx(tuple(r)[1:]) for r in want.collect()} == {r[0]: tuple(r)[1:] for r in got.collect()}
 
@@ -122,8 +122,14 @@ def test_global_median_of_a_dominant_value(spark):
     df = spark.createDataFrame([(7,)] * 700 + [(i,) for i in range(300)], "v int").repartition(4)
     want = statistics.median([7] * 700 + list(range(300)))
     assert quantiles.medians(df, "v").first()[0] == want
-    # A tiny sketch forces the bracket path.
-    assert quantiles.exact_percentiles(df, "v", {"m": 0.5}, accuracy=60).first()[0] == want
+    # Small limits force several narrowing rounds.
+    assert quantiles.exact_percentiles(df, "v", {"m": 0.5}, few_rows=10, bins=2).first()[0] == want
+
+
+def test_percentile_with_a_far_outlier(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(500)] + [(1e12,)], "v double")
+    got = quantiles.exact_percentiles(df, "v", {"a": 0.1, "m": 0.5, "top": 1.0}, few_rows=30, bins=16).first()
+    assert tuple(got) == (50.0, 250.0, 1e12)
 
 
 def test_histogram_covers_everything(spark):
