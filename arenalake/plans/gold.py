@@ -37,6 +37,12 @@ def final_snapshot(intervals: DataFrame) -> DataFrame:
     return last_snapshot(intervals, PLAYER, "minute", _SNAPSHOT)
 
 
+def held_by(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per filled slot. Exploding first and filtering after stays in generated code."""
+    held = rows.select(*keys, F.explode(F.array(*ITEM_SLOTS)).alias("item_id"))
+    return held.filter(F.col("item_id").isNotNull())
+
+
 def named_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
     """Snapshot with `item_build`, the sorted names of its resolved items.
 
@@ -51,7 +57,7 @@ def named_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
             "minute", "level", "kills", "deaths", "assists",
             (F.col("cs") + F.col("jungle_cs")).alias("cs"), "total_gold",
         ).alias("stats"),
-        F.explode_outer(S.held_items(ITEM_SLOTS)).alias("item_id"),
+        F.explode(F.array(*ITEM_SLOTS)).alias("item_id"),
     )
     named = lookup(stats, items.drop("item_category"), "item_id")
     build = F.when(F.count("item_id") > 0, F.sort_array(F.collect_list("item_name")))
@@ -66,7 +72,7 @@ def tiered_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
     """Per player, the ranked items held as `(tier, id)` in that order; at most one per slot."""
     ranked = current(items).select("item_id", S.tier_rank("item_category").alias("tier")).filter("tier IS NOT NULL")
     return (
-        snapshot.select(*PLAYER, F.explode(S.held_items(ITEM_SLOTS)).alias("item_id"))
+        held_by(snapshot, PLAYER)
         .join(ranked, "item_id")
         .groupBy(*PLAYER)
         .agg(F.array_sort(F.collect_list(F.struct("tier", F.col("item_id").alias("id")))).alias("items"))
@@ -318,7 +324,7 @@ def co_purchases(counted: DataFrame, items: DataFrame, k: int = 3) -> DataFrame:
 def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame) -> DataFrame:
     """Most common first minute of each (champion, item)."""
     first_seen = (
-        intervals.select(*PLAYER, "minute", F.explode(S.held_items(ITEM_SLOTS)).alias("item_id"))
+        held_by(intervals, PLAYER + ["minute"])
         .groupBy(*PLAYER, "item_id")
         .agg(F.min("minute").alias("minute"))
     )

@@ -212,7 +212,7 @@ _HELD = f"(SELECT match_id, participant_pos_id, minute, unnest([{_SLOTS}]) AS it
 
 
 def _held(spark, d):
-    return px_intervals(spark, d).select(*PLAYER, "minute", F.explode(S.held_items(ITEM_SLOTS)).alias("item_id"))
+    return gold.held_by(px_intervals(spark, d), PLAYER + ["minute"])
 
 
 @query("jn03_left_versioned_dimension", with_px(
