@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arenalake.llm import quality
+from arenalake.llm import ngram_join, quality
 from arenalake.llm.common import table
-from arenalake.llm.sql import OP1
+from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -15,3 +15,8 @@ CATALOG = Catalog()
 @CATALOG.query("op1_quality_rules", OP1)
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op2_ngram_jaccard", OP2)
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), ngram_join.Similarity(3, 90, 100))
