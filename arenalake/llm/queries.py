@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arenalake.llm import ngram_join, quality
+from arenalake.llm import ngram_join, packing, quality
 from arenalake.llm.common import table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
@@ -20,3 +20,8 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op2_ngram_jaccard", OP2)
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"), ngram_join.Similarity(3, 90, 100))
+
+
+@CATALOG.query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
