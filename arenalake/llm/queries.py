@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arenalake.llm import ngram_join, packing, quality
+from arenalake.llm import licenses, ngram_join, packing, quality
 from arenalake.llm.common import table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
@@ -25,3 +25,8 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op9_license_scans")
+def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
