@@ -12,7 +12,9 @@ sets with too many empty parts list those too, so no link is lost.
 
 The boundary is chosen by cost from the histogram of set sizes. Equal sets are one set from the
 start. A heavy list is never turned into all its pairs: members are first checked against one leader
-each, and afterwards only pairs of the same list that are still in different classes are checked.
+each, and afterwards only pairs of the same list that are still in different classes are met; a parity
+sketch, which never overstates how far two sets differ, decides inside that join which of them are
+worth an exact intersection.
 
 Defined cases: NULL, empty and blank texts have no shingle, link with nothing and are their own
 class; fewer words than a shingle count as one shingle; repeated rows are one set; rows that share a
@@ -38,6 +40,7 @@ from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles,
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long, empty int, least int, light array<long>, light_up array<long>, heavy array<long>"
 # Subsets are enumerated for sets up to the size where one set would need more than this many.
 _MOST_SUBSETS = 64
+_SKETCH = 8  # longs of the parity sketch
 _FIELDS = ("f1", "f2", "empty", "least", "light", "light_up", "heavy")
 
 
@@ -165,13 +168,25 @@ def _set_rows(sim: Similarity):
     return rows
 
 
+def _odd_sketch(s: np.ndarray) -> np.ndarray:
+    """512 parity bits of the elements. Two sketches differ in at most as many bits as the sets in elements."""
+    bits = np.bincount((mix(s) >> np.uint64(55)).astype(np.int64), minlength=512).astype(np.uint8) & 1
+    return np.packbits(bits).view(np.int64)
+
+
+_ELEMENTS = "doc_id long, items array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
+
+
 def _element_rows(k: int):
     def rows(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [signed(shingles(hashes.of(lower_words(text)), k)) for text in texts(batch)]
+            sets = [shingles(hashes.of(lower_words(text)), k) for text in texts(batch)]
+            sketches = np.array([_odd_sketch(s) for s in sets]).reshape(-1, _SKETCH)
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "items"]
+                [column(batch, "doc_id"), pa.array([signed(s) for s in sets], pa.list_(pa.int64()))]
+                + [pa.array(sketches[:, i]) for i in range(_SKETCH)],
+                names=["doc_id", "items", *[f"s{i}" for i in range(_SKETCH)]],
             )
 
     return rows
@@ -249,7 +264,7 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     lists = written(led.distinct(), "lists")
 
     items = written(
-        semi(docs, lists).mapInArrow(_element_rows(sim.k), "doc_id long, items array<long>").dropDuplicates(["doc_id"]),
+        semi(docs, lists).mapInArrow(_element_rows(sim.k), _ELEMENTS).dropDuplicates(["doc_id"]),
         "items",
     )
     first = (
@@ -266,15 +281,22 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         .select("key", "doc_id", "size", "least", F.coalesce("component", "doc_id").alias("class"))
     )
     mixed = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
-    open_lists = written(placed.join(mixed.select("key"), "key", "left_semi"), "open")
-    other = open_lists.select(
-        "key", F.col("doc_id").alias("b"), F.col("size").alias("size_b"), F.col("least").alias("least_b"),
-        F.col("class").alias("class_b"),
+    # Pairs are met inside the join and leave it only if sizes and sketches allow a link.
+    sketch = [f"s{i}" for i in range(_SKETCH)]
+    open_lists = written(
+        placed.join(mixed.select("key"), "key", "left_semi").join(items.select("doc_id", *sketch), "doc_id"), "open"
+    )
+    other = open_lists.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "size", "least", "class", *sketch)])
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0))
+    met = (
+        (F.col("class") < F.col("class_b"))
+        & _fits(sim, "size", "size_b")
+        & (apart * (sim.den + sim.num) <= (F.col("size") + F.col("size_b")) * (sim.den - sim.num))
     )
+    mine = open_lists.withColumnRenamed("key", "own_key")
     second = (
-        open_lists.join(other, "key")
-        .filter((F.col("class") < F.col("class_b")) & _fits(sim, "size", "size_b"))
-        .groupBy(F.col("doc_id").alias("a"), "b")
+        mine.join(other, (F.col("own_key") == F.col("key")) & met)
+        .groupBy(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"))
         .agg(F.count(F.lit(1)).alias("equal"), F.max("least").alias("la"), F.max("least_b").alias("lb"))
         # Linked sets share at least so many listed parts in a class.
         .filter(F.col("equal") >= F.greatest("la", "lb"))
@@ -282,8 +304,12 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     more = _verified(second, items, sim)
     classes = written(components(links.union(more)), "classes")
 
-    found = groups.join(classes, groups["rep"] == classes["id"], "left").select(
-        F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("component", "rep").alias("class")
+    # Written, so that the join by fingerprint has two plain sides and a group of copies can be split.
+    found = written(
+        groups.join(classes, groups["rep"] == classes["id"], "left").select(
+            F.col("f1").alias("g1"), F.col("f2").alias("g2"), F.coalesce("component", "rep").alias("class")
+        ),
+        "found",
     )
     return sets.join(found, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left").select(
         "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from arenalake.llm import licenses, ngram_join, packing, quality
-from arenalake.llm.common import table
+from arenalake.llm import language, licenses, ngram_join, packing, quality, toxicity
+from arenalake.llm.common import crc_mod, table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
 
@@ -30,3 +31,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op9_license_scans")
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(crc_mod(4) != 2))
+    return language.identify(docs, model).select("doc_id", (crc_mod(4) == 2).alias("held_out"), "lang_pred", "score", "spans")
+
+
+@CATALOG.query("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs.filter(crc_mod(3) != 1), table(spark, sf_dir, "labels").filter(crc_mod(3) != 1))
+    return toxicity.score(docs, machine).select(
+        "doc_id", (crc_mod(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "word"
+    )
