@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import language, licenses, ngram_join, packing, quality, toxicity
+from arenalake.llm import language, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
@@ -47,3 +47,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, machine).select(
         "doc_id", (crc_mod(3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "word"
     )
+
+
+@CATALOG.query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
