@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import language, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
+from arenalake.llm import chat, decontaminate, language, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
@@ -52,3 +52,16 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@CATALOG.query("op4_chat_formatting")
+def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql("SELECT -7L AS conv_id, t.turn, t.role, t.text FROM VALUES (0L, 'user', :said), (1L, 'assistant', :said) AS t(turn, role, text)", args={"said": said})
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.windows(rows))
+
+
+@CATALOG.query("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
