@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, decontaminate, language, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
+from arenalake.llm import chat, decontaminate, language, language_model, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
 from arenalake.llm.sql import OP1, OP2
 from arenalake.plans.catalog import Catalog
@@ -65,3 +65,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op5_decontamination")
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@CATALOG.query("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_model.train(docs.filter(crc_mod(7) != 2))
+    return language_model.score(docs, model).withColumn("held_out", crc_mod(7) == 2)
