@@ -399,7 +399,7 @@ def remove_repeats(docs: DataFrame, keep: str = "none") -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """`docs` with the later copies cut out of `text`, whole characters at a time; all columns stay."""
+    """`docs` with the later copies cut out of `text`, whole characters at a time; n_chars follows, other columns stay."""
     _, found = repeated_spans(docs, "first")
     cut = found.mapInArrow(_removed_rows(True), _REMOVED).dropDuplicates(["k", "h"])
     cut = cut.filter("n_removed > 0").select(
@@ -407,5 +407,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     on = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__rk")) & (F.xxhash64(text) == F.col("__rh"))
-    kept = [F.coalesce("__rest", "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    new = {"text": F.coalesce("__rest", "text")}
+    if "n_chars" in docs.columns:
+        chars = F.length("__rest").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("__rest").isNotNull(), chars).otherwise(F.col("n_chars"))
+    kept = [new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns]
     return docs.join(cut, on, "left").select(*kept)

@@ -1,8 +1,9 @@
 """Corpus pipeline: quality rules, near duplicates, repeated passages, benchmark leaks, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all its predecessor kept and returns a frame that
-is written as Parquet and read back as the next stage's `docs`. A doc_id names a document; rows that
-share one are kept or dropped together.
+is written as Parquet and read back as the next stage's `docs`. A doc_id (NULL included) names a
+document: rows that share one are judged together. Columns beside doc_id, text, lang and source pass
+through untouched, but for n_chars where a passage was cut out.
 """
 
 from __future__ import annotations
@@ -10,28 +11,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import anti, new_dir, table
+from arenalake.llm.common import anti, new_dir, semi, table, written
+from arenalake.llm.decontaminate import decontaminated
+from arenalake.llm.ngram_join import Similarity, jaccard_classes
+from arenalake.llm.packing import pack
 from arenalake.llm.quality import quality_rules
+from arenalake.llm.suffix_dedup import without_repeats
 from arenalake.session import tune
 
+# Near copies: Jaccard similarity of at least 0.8 over five-word shingles.
+NEAR = Similarity(k=5, num=80, den=100)
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the adaptive fences."""
-    tune(spark)
     return anti(docs, quality_rules(docs).filter(~F.col("kept")))
 
 
-STAGES = [("quality", keep_quality)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of every class of near copies, once; a NULL doc_id is never dropped."""
+    classes = written(jaccard_classes(docs, NEAR).select("doc_id", "component_id"), "classes")
+    kept = anti(docs, classes.filter("doc_id != component_id"))
+    again = classes.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1")
+    if not again.limit(1).count():
+        return kept
+    return anti(kept, again).union(semi(kept, again).dropDuplicates(["doc_id"]))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every repeated passage of 400 bytes or more stays at its first place only."""
+    return without_repeats(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents placed in sequences of 4096 tokens."""
+    return pack(docs)
+
+
+def _tuned(stage):
+    return lambda spark, docs, sf_dir: stage(tune(spark), docs, sf_dir)
+
+
+STAGES = [
+    ("quality_rules", _tuned(keep_quality)),
+    ("ngram_jaccard_join", _tuned(drop_near_copies)),
+    ("suffix_array_dedup", _tuned(cut_repeats)),
+    ("benchmark_decontamination", _tuned(drop_leaks)),
+    ("best_fit_packing", _tuned(pack_sequences)),
+]
 
-# Near-duplicate groups, suffix order and packing cannot be stated as one query; the tests compare
+# Near-duplicate classes, suffix order and packing cannot be stated as one query; the tests compare
 # the stages with brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = new_dir(spark, f"stage-{name}")
+        path = new_dir(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
