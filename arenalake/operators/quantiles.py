@@ -1,9 +1,9 @@
 """Exact percentiles that never gather a group in one task.
 
-The wanted rank is narrowed down by counting: rows are counted in equal-width bins of their
-group's range, the bin holding the rank becomes the new range, and once a range holds few
-enough rows its distinct values are counted and the rank is read off their running total. Each
-round is one map-side combined aggregate; groups of ordinary size need no round at all.
+Distinct values are counted (one map-side combined aggregate), laid out in order over slices, and each
+slice is counted per group. Running totals over these few slice rows tell which slice holds a wanted
+rank, and only there are values totalled one by one. The same three steps serve every size and every
+range of values, so infinities and values near the limits of a double need no care.
 """
 
 from __future__ import annotations
@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 
 from arenalake.workspace import written
 
-# A range with at most this many rows is ranked value by value.
-_FEW_ROWS = 100_000
-_BINS = 4096
-
 
 def measured(df: DataFrame) -> DataFrame:
     """Write a small aggregate once, so that the planner sees its true size and no lineage.
@@ -32,71 +28,59 @@ def exact_percentiles(
     value: str,
     probs: dict[str, float],
     by: list[str] | None = None,
-    few_rows: int = _FEW_ROWS,
-    bins: int = _BINS,
+    slices: int | None = None,
 ) -> DataFrame:
     """Linear-interpolation percentiles of `value`, one column per entry of `probs`.
 
-    NULL values and NULL groups are ignored.
+    NULL and NaN are missing values and left out, as are NULL groups. Between an infinite and a finite
+    neighbour the result is infinite, between two opposite infinities NaN.
     """
     groups = by or ["__all"]
     rows = df if by else df.withColumn("__all", F.lit(0))
-    rows = rows.select(*groups, F.col(value).cast("double").alias("__v")).dropna()
-    spans = rows.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("n"), F.min("__v").alias("lo"), F.max("__v").alias("hi")
+    present = F.col("__v").isNotNull() & ~F.isnan("__v")
+    for group in groups:
+        present = present & F.col(group).isNotNull()
+    counted = written(
+        rows.select(*groups, F.col(value).cast("double").alias("__v")).filter(present)
+        .groupBy(*groups, "__v").agg(F.count(F.lit(1)).alias("c")),
+        "values",
+    )
+    # Slices are ranges of (group, value); written, because later jobs must see the same ones.
+    ranged = counted.repartitionByRange(slices, *groups, "__v") if slices else counted.repartitionByRange(*groups, "__v")
+    sliced = written(ranged.withColumn("slice", F.spark_partition_id()), "slices")
+    totals = sliced.groupBy(*groups, "slice").agg(F.sum("c").alias("c"))
+    so_far = Window.partitionBy(*groups).orderBy("slice")
+    spans = totals.select(
+        *groups, "slice", F.sum("c").over(Window.partitionBy(*groups)).alias("n"), F.sum("c").over(so_far).alias("end"),
+        (F.sum("c").over(so_far) - F.col("c")).alias("begin"),
     )
-    # Two neighbouring ranks per percentile, each starting with the whole range of its group.
+    # Two neighbouring ranks per percentile.
     spot = lambda p: (F.col("n") - 1) * F.lit(float(p))
-    ranks = [
-        F.struct(F.lit(f"{name}{side}").alias("rank"), pick(spot(p)).alias("k"))
+    ranks = F.array(*[
+        F.struct(F.lit(f"{name}{side}").alias("rank"), pick(spot(p)).cast("long").alias("k"))
         for name, p in probs.items() for side, pick in (("_low", F.floor), ("_high", F.ceil))
-    ]
-    targets = measured(spans.select(*groups, "n", "lo", "hi", F.col("n").alias("m"), F.inline(F.array(*ranks))))
-    while targets.filter((F.col("m") > few_rows) & (F.col("lo") < F.col("hi"))).limit(1).count():
-        targets = measured(_narrowed(rows, targets, groups, bins))
-
-    distinct_values = _inside(rows, targets, groups).groupBy(*groups, "lo", "__v").agg(F.count(F.lit(1)).alias("c"))
-    found = _at_rank(distinct_values, targets.select(*groups, "n", "lo", "rank", "k"), groups, "__v")
+    ])
+    targets = measured(
+        spans.select(*groups, "slice", "n", "begin", "end", F.inline(ranks)).filter("k >= begin AND k < end")
+        .select(*groups, "slice", "n", "rank", (F.col("k") - F.col("begin")).alias("k"))
+    )
+    wanted = targets.select(*groups, "slice").distinct()
+    inside = Window.partitionBy(*groups, "slice").orderBy("__v")
+    found = (
+        sliced.join(wanted, [*groups, "slice"], "left_semi")
+        .withColumn("upto", F.sum("c").over(inside))
+        .join(targets, [*groups, "slice"])
+        .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("c")))
+    )
     answer = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("__v")))
     cells = []
     for name, p in probs.items():
-        low, high = answer(f"{name}_low"), answer(f"{name}_high")
-        cells.append((low + (high - low) * F.max(spot(p) - F.floor(spot(p)))).alias(name))
+        low, high, part = answer(f"{name}_low"), answer(f"{name}_high"), F.max(spot(p) - F.floor(spot(p)))
+        # Two products instead of a difference: a range wider than a double must not overflow.
+        cells.append(F.when((low == high) | (part == 0), low).otherwise(low * (1 - part) + high * part).alias(name))
     return found.groupBy(*groups).agg(*cells).select(*(by or []), *probs)
 
 
-def _inside(rows: DataFrame, targets: DataFrame, groups: list[str]) -> DataFrame:
-    """Rows within a target range. The ranges of a group are equal or disjoint, so no row repeats."""
-    ranges = targets.select(*groups, "lo", "hi").distinct()
-    return rows.join(ranges, groups).filter(F.col("__v").between(F.col("lo"), F.col("hi")))
-
-
-def _at_rank(counted: DataFrame, targets: DataFrame, groups: list[str], order: str) -> DataFrame:
-    """The counted row each target rank falls into, with the rank counted from that row's start."""
-    running = F.sum("c").over(Window.partitionBy(*groups, "lo").orderBy(order))
-    return (
-        counted.withColumn("upto", running)
-        .join(targets, [*groups, "lo"])
-        .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("c")))
-        .withColumn("k", F.col("k") - F.col("upto") + F.col("c"))
-    )
-
-
-def _narrowed(rows: DataFrame, targets: DataFrame, groups: list[str], bins: int) -> DataFrame:
-    """Targets with the smallest range of actual values around each rank."""
-    place = (F.col("__v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins
-    slot = F.when(F.col("lo") < F.col("hi"), F.least(F.floor(place), F.lit(bins - 1))).otherwise(F.lit(0))
-    counted = (
-        _inside(rows, targets, groups)
-        .groupBy(*groups, "lo", slot.alias("slot"))
-        .agg(F.count(F.lit(1)).alias("c"), F.min("__v").alias("new_lo"), F.max("__v").alias("new_hi"))
-    )
-    found = _at_rank(counted, targets.select(*groups, "n", "lo", "rank", "k"), groups, "slot")
-    return found.select(
-        *groups, "n", F.col("new_lo").alias("lo"), F.col("new_hi").alias("hi"), F.col("c").alias("m"), "rank", "k"
-    )
-
-
 def medians(df: DataFrame, value: str, by: list[str] | None = None, name: str = "median") -> DataFrame:
     """Exact median per group."""
     return exact_percentiles(df, value, {name: 0.5}, by)

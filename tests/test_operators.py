@@ -107,13 +107,13 @@ def test_key_reports(spark):
     assert rows_of(quality.null_rates(df)) == [("v", 25.0)]
 
 
-@pytest.mark.parametrize("few_rows,bins", [(100_000, 4096), (20, 4)])
-def test_exact_percentiles(spark, few_rows, bins):
+@pytest.mark.parametrize("slices", [None, 1, 7])
+def test_exact_percentiles(spark, slices):
     rng = random.Random(3)
     groups = {"a": [rng.gauss(0, 1) for _ in range(997)], "b": [float(rng.randrange(5)) for _ in range(800)], "c": [4.0], "d": [1.0, 2.0]}
     data = [(g, v) for g, values in groups.items() for v in values] + [("a", None), (None, 1.0)]
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
-    got = quantiles.exact_percentiles(df, "v", {"q1": 0.25, "med": 0.5, "q9": 0.9}, ["g"], few_rows, bins)
+    got = quantiles.exact_percentiles(df, "v", {"q1": 0.25, "med": 0.5, "q9": 0.9}, ["g"], slices)
     want = df.dropna().groupBy("g").agg(*[F.percentile("v", p) for p in (0.25, 0.5, 0.9)])
     assert {r[0]: pytest.approx(tuple(r)[1:]) for r in want.collect()} == {r[0]: tuple(r)[1:] for r in got.collect()}
 
@@ -123,12 +123,12 @@ def test_global_median_of_a_dominant_value(spark):
     want = statistics.median([7] * 700 + list(range(300)))
     assert quantiles.medians(df, "v").first()[0] == want
     # Small limits force several narrowing rounds.
-    assert quantiles.exact_percentiles(df, "v", {"m": 0.5}, few_rows=10, bins=2).first()[0] == want
+    assert quantiles.exact_percentiles(df, "v", {"m": 0.5}, slices=3).first()[0] == want
 
 
 def test_percentile_with_a_far_outlier(spark):
     df = spark.createDataFrame([(float(i),) for i in range(500)] + [(1e12,)], "v double")
-    got = quantiles.exact_percentiles(df, "v", {"a": 0.1, "m": 0.5, "top": 1.0}, few_rows=30, bins=16).first()
+    got = quantiles.exact_percentiles(df, "v", {"a": 0.1, "m": 0.5, "top": 1.0}, slices=5).first()
     assert tuple(got) == (50.0, 250.0, 1e12)
 
 
@@ -166,3 +166,20 @@ def test_top_k_matches_window(spark):
     order = [F.desc("n"), F.asc("v")]
     want = df.withColumn("rank", F.row_number().over(Window.partitionBy("g").orderBy(*order))).filter("rank <= 3")
     assert rows_of(ranking.top_k(df, ["g"], order, 3)) == rows_of(want)
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_percentiles_end_on_wide_ranges(spark, slices):
+    """Infinities, values at the ends of a double, NaN and NULL: same as a plain sort, in one pass."""
+    inf, nan = float("inf"), float("nan")
+    cases = {
+        "inf": [*range(19), inf, -inf], "wide": [1e308, -1e308, *range(18), 0.5], "all": [inf] * 5, "gap": [1.0, 2.0, nan],
+        "null": [None, 3.0, None, 5.0, nan],
+    }
+    rows = [(g, None if v is None else float(v)) for g, vs in cases.items() for v in vs]
+    got = quantiles.exact_percentiles(spark.createDataFrame(rows, "g string, v double"), "v", {"lo": 0.0, "m": 0.5, "hi": 1.0}, ["g"], slices)
+    for r in got.collect():
+        values = sorted(v for v in cases[r.g] if v is not None and v == v)
+        half = (len(values) - 1) / 2
+        a, b = values[int(half)], values[-(-(len(values) - 1) // 2)]
+        assert (r.lo, r.m, r.hi) == (values[0], a if a == b else a * 0.5 + b * 0.5, values[-1])
