@@ -12,9 +12,9 @@ sets with too many empty parts list those too, so no link is lost.
 
 The boundary is chosen by cost from the histogram of set sizes. Equal sets are one set from the
 start. A heavy list is never turned into all its pairs: members are first checked against one leader
-each, and afterwards only pairs of the same list that are still in different classes are met; a parity
-sketch, which never overstates how far two sets differ, decides inside that join which of them are
-worth an exact intersection.
+each, then against the leaders of their other lists, and afterwards only pairs of the same list that are
+still in different classes are met; a parity sketch, which never overstates how far two sets differ,
+decides which of them are worth an exact intersection.
 
 Defined cases: NULL, empty and blank texts have no shingle, link with nothing and are their own
 class; fewer words than a shingle count as one shingle; repeated rows are one set; rows that share a
@@ -276,22 +276,38 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     links = written(_verified(first, items, sim).union(ties), "links")
     classes = components(links)
 
-    placed = (
-        lists.join(classes, lists["doc_id"] == classes["id"], "left")
-        .select("key", "doc_id", "size", "least", F.coalesce("component", "doc_id").alias("class"))
+    # A second star round: leaders whose class a member is not in yet, as far as sketches allow a link.
+    sketch = [f"s{i}" for i in range(_SKETCH)]
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0))
+    near = lambda a, b: apart * (sim.den + sim.num) <= (F.col(a) + F.col(b)) * (sim.den - sim.num)
+    class_of = lambda df, end, name: (
+        df.join(classes.select(F.col("id").alias("cid"), F.col("component").alias("cc")), F.col(end) == F.col("cid"), "left")
+        .withColumn(name, F.coalesce("cc", end)).drop("cid", "cc")
+    )
+    led_apart = class_of(class_of(lists, "doc_id", "class"), "leader", "leader_class").filter(
+        (F.col("class") != F.col("leader_class")) & _fits(sim, "size", "leader_size")
+    )
+    sketched = lambda end, suffix: items.select(
+        F.col("doc_id").alias(end), *[F.col(c).alias(f"{c}{suffix}") for c in sketch]
+    )
+    stars = (
+        led_apart.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"), "size", "leader_size").distinct()
+        .join(sketched("a", ""), "a").join(sketched("b", "_b"), "b").filter(near("size", "leader_size"))
     )
+    links = written(links.union(_verified(stars, items, sim)), "links")
+    classes = components(links)
+
+    placed = class_of(lists, "doc_id", "class").select("key", "doc_id", "size", "least", "class")
     mixed = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
     # Pairs are met inside the join and leave it only if sizes and sketches allow a link.
-    sketch = [f"s{i}" for i in range(_SKETCH)]
     open_lists = written(
         placed.join(mixed.select("key"), "key", "left_semi").join(items.select("doc_id", *sketch), "doc_id"), "open"
     )
     other = open_lists.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "size", "least", "class", *sketch)])
-    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0))
     met = (
         (F.col("class") < F.col("class_b"))
         & _fits(sim, "size", "size_b")
-        & (apart * (sim.den + sim.num) <= (F.col("size") + F.col("size_b")) * (sim.den - sim.num))
+        & near("size", "size_b")
     )
     mine = open_lists.withColumnRenamed("key", "own_key")
     second = (
