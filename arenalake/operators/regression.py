@@ -28,8 +28,6 @@ MODEL_COLUMNS = [
     "game_duration", "team", "win", "champion_role", "level", "kills", "deaths", "assists", "cs", "total_gold",
 ]
 
-_MAX_CATEGORIES = 1000
-
 
 def select_features(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Fresh rows of full-length matches, outcome as 0/1, only the modelled columns (and keys)."""
@@ -46,12 +44,9 @@ def standardize(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scores).drop(*columns)
 
 
-def category_levels(df: DataFrame, column: str) -> list[str]:
-    """Sorted levels of a categorical column; refuses columns that are not categorical."""
-    found = df.select(column).distinct().limit(_MAX_CATEGORIES + 1).collect()
-    if len(found) > _MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {_MAX_CATEGORIES} levels")
-    return sorted(row[0] for row in found if row[0] is not None)
+def category_levels(df: DataFrame, column: str) -> list:
+    """Sorted levels of a categorical column; each but the first becomes a model column."""
+    return sorted(row[0] for row in df.select(column).distinct().collect() if row[0] is not None)
 
 
 @dataclass(frozen=True)
@@ -76,7 +71,7 @@ def plan_features(
     pp_features = pp_features or {}
     unknown = [name for name in pp_features if name not in PREPROCESSORS]
     if unknown:
-        raise ValueError(f"Invalid scaling name, got {unknown}. Expecting one of {PREPROCESSORS}.")
+        raise ValueError(f"no such preprocessing: {', '.join(unknown)} (known: {', '.join(PREPROCESSORS)})")
     plan: list[Feature] = []
     for kind, columns in pp_features.items():
         for column in columns:
@@ -145,46 +140,99 @@ class Design:
 
     @classmethod
     def measure(cls, df: DataFrame, plan: list[Feature], response: str) -> "Design":
-        values = [f.value() for f in plan] + [F.col(response).cast("double")]
-        cells = [F.count(F.lit(1))] + [g(v) for v in values for g in (F.count, F.avg, F.stddev_pop)]
+        # Numeric columns are measured once each; a dummy's mean and spread follow from its level's count.
+        numeric = list(dict.fromkeys([f.source for f in plan if f.level is None] + [response]))
+        cells = [F.count(F.lit(1))] + [g(F.col(c).cast("double")) for c in numeric for g in (F.count, F.avg, F.stddev_pop)]
         count, *numbers = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(cells)]).first()
         if not count:
             raise ValueError("no rows to fit")
-        holes = [name for name, n in zip([f.name for f in plan] + [response], numbers[0::3]) if n < count]
+        facts = {c: numbers[3 * i:3 * i + 3] for i, c in enumerate(numeric)}
+        levels = {
+            c: dict(df.groupBy(c).count().collect()) for c in dict.fromkeys(f.source for f in plan if f.level is not None)
+        }
+        holes = [c for c, (n, _, _) in facts.items() if n < count] + [c for c, found in levels.items() if None in found]
         if holes:
             raise ValueError(f"NULL values in {holes}")
-        centre, size = np.array(numbers[1::3], float), np.array(numbers[2::3], float)
+
+        def spread(f: Feature) -> tuple[float, float]:
+            if f.level is None:
+                return facts[f.source][1], facts[f.source][2]
+            share = levels[f.source].get(f.level, 0) / count
+            return share, math.sqrt(share * (1 - share))
+
+        measured = [spread(f) for f in plan] + [tuple(facts[response][1:])]
+        centre, size = np.array([m for m, _ in measured], float), np.array([d for _, d in measured], float)
         size[size == 0] = 1.0
         return cls(plan, response, centre[:-1], size[:-1], centre[-1], size[-1], count, [f.name for f in plan])
 
-    def z(self) -> list[Column]:
-        return [
-            (f.value() - F.lit(float(c))) / F.lit(float(s)) for f, c, s in zip(self.plan, self.centre, self.size)
-        ]
-
-    def y(self) -> Column:
-        return (F.col(self.response).cast("double") - F.lit(float(self.y_centre))) / F.lit(float(self.y_size))
+    def _source(self, df: DataFrame, fold: Column) -> tuple[DataFrame, list[tuple]]:
+        """The columns the matrix is made of, and per matrix column (column, level, centre, size)."""
+        names: dict[tuple, str] = {}
+        spec = []
+        for f, c, s in zip(self.plan, self.centre, self.size):
+            name = names.setdefault((f.source, f.level is None), f"s{len(names)}")
+            spec.append((name, f.level, float(c), float(s)))
+        name = names.setdefault((self.response, True), f"s{len(names)}")
+        spec.append((name, None, float(self.y_centre), float(self.y_size)))
+        cells = [(F.col(c).cast("double") if number else F.col(c)).alias(n) for (c, number), n in names.items()]
+        return df.select(fold.cast("int").alias("fold"), *cells), spec
+
+    def sums(self, df: DataFrame, fold: Column, weigh=None) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per fold the cross-products of (1, z..., y) and the least and greatest value of each column.
+
+        Every task adds up its own rows with numpy and emits a line per matrix row; lines are added by
+        Spark, and as many come back as folds times matrix rows. `weigh(matrix)` gives row weights and one
+        number to take the least of (in place of the constant's minimum).
+        """
+        rows, spec = self._source(df, fold)
+
+        def partial(batches):
+            import pandas as pd
+
+            total: dict[int, list[np.ndarray]] = {}
+            for pdf in batches:
+                z = np.ones((len(pdf), len(spec) + 1))
+                for j, (name, level, centre, size) in enumerate(spec, start=1):
+                    v = pdf[name].to_numpy()
+                    z[:, j] = ((v == level) if level is not None else v.astype(float)) * (1 / size) - centre / size
+                folds = pdf["fold"].to_numpy()
+                for number in np.unique(folds):
+                    part = z[folds == number]
+                    weight, least = weigh(part) if weigh else (None, None)
+                    gram = part.T @ (part if weight is None else part * weight[:, None])
+                    low, high = part.min(0), part.max(0)
+                    if least is not None:
+                        low[0] = least
+                    if int(number) in total:
+                        old = total[int(number)]
+                        total[int(number)] = [old[0] + gram, np.minimum(old[1], low), np.maximum(old[2], high)]
+                    else:
+                        total[int(number)] = [gram, low, high]
+            for number, (gram, low, high) in total.items():
+                lines = np.vstack([gram, low, high])
+                yield pd.DataFrame({"fold": number, "line": range(len(lines)), "cells": list(lines)})
+
+        width = len(spec) + 1
+
+        def added(pdf):
+            import pandas as pd
+
+            lines = np.stack(pdf["cells"].to_numpy())
+            line = int(pdf["line"].iloc[0])
+            cells = lines.sum(0) if line < width else lines.min(0) if line == width else lines.max(0)
+            return pd.DataFrame({"fold": [int(pdf["fold"].iloc[0])], "line": [line], "cells": [cells]})
+
+        shape = "fold int, line int, cells array<double>"
+        found = rows.mapInPandas(partial, shape).groupBy("fold", "line").applyInPandas(added, shape).collect()
+        out: dict[int, np.ndarray] = {}
+        for number, line, cells in found:
+            out.setdefault(number, np.zeros((width + 2, width)))[line] = cells
+        return {number: (m[:width], m[width], m[width + 1]) for number, m in out.items()}
 
     def moments(self, df: DataFrame, fold: Column | None = None) -> dict[int, Moments]:
-        """Cross-products per fold in one aggregate; as many rows come back as there are folds."""
-        k = len(self.plan)
-        columns = [z.alias(f"z{i}") for i, z in enumerate(self.z())] + [self.y().alias(f"z{k}")]
-        rows = df.select((fold if fold is not None else F.lit(0)).alias("fold"), *columns)
-        at = [F.col(f"z{i}") for i in range(k + 1)]
-        cells = [F.count(F.lit(1))] + [F.sum(c) for c in at]
-        cells += [F.sum(at[i] * at[j]) for i in range(k + 1) for j in range(i, k + 1)]
-        cells += [g(c) for c in at[:-1] for g in (F.min, F.max)]
-        out: dict[int, Moments] = {}
-        for fold_id, *numbers in rows.groupBy("fold").agg(*[c.alias(f"s{i}") for i, c in enumerate(cells)]).collect():
-            width = k + 2
-            gram = np.zeros((width, width))
-            gram[0] = numbers[:width]
-            upper = np.triu_indices(width - 1)
-            gram[1:, 1:][upper] = numbers[width:width + len(upper[0])]
-            gram = np.triu(gram) + np.triu(gram, 1).T
-            ends = np.array(numbers[width + len(upper[0]):], float)
-            out[fold_id] = Moments(gram, ends[0::2], ends[1::2])
-        return out
+        """Cross-products per fold from one pass."""
+        found = self.sums(df, fold if fold is not None else F.lit(0))
+        return {number: Moments(gram, low[1:-1], high[1:-1]) for number, (gram, low, high) in found.items()}
 
     def scaling(self, train: Moments) -> tuple[np.ndarray, np.ndarray]:
         """Shift and size of every feature, in source units, from the training sums."""
@@ -212,7 +260,7 @@ class Design:
 def solve(moments: Moments, estimator: str, alpha: float = 0.0) -> tuple[float, np.ndarray]:
     """Intercept and coefficients. Ridge penalises the sum of squares, Lasso the mean square."""
     if estimator not in ESTIMATORS:
-        raise ValueError(f"Invalid model, got {estimator}. Expecting one of {ESTIMATORS}.")
+        raise ValueError(f"no such estimator: {estimator} (known: {', '.join(ESTIMATORS)})")
     n, means = moments.n, moments.gram[0, 1:] / moments.n
     centred = moments.gram[1:, 1:] - n * np.outer(means, means)
     xx, xy = centred[:-1, :-1], centred[:-1, -1]
@@ -237,8 +285,8 @@ def _lasso(xx: np.ndarray, xy: np.ndarray, alpha: float, tol: float = 1e-12, rou
             moved = max(moved, abs(new - coef[j]) * math.sqrt(xx[j, j]))
             coef[j] = new
         if moved <= tol * max(1.0, float(np.abs(xy).max())):
-            break
-    return coef
+            return coef
+    raise ValueError(f"coordinate descent still moves after {rounds} rounds")
 
 
 def r_squared(moments: Moments, intercept: float, coef: np.ndarray) -> float:
@@ -263,9 +311,14 @@ class LinearModel:
     train_r2: float
 
     def prediction(self) -> Column:
-        total = F.lit(self.intercept)
+        total, levels = F.lit(self.intercept), {}
         for f, w, a, b in zip(self.design.plan, self.coef, self.shift, self.size):
-            total = total + F.lit(float(w)) * ((f.value() - F.lit(float(a))) / F.lit(float(b)))
+            if f.level is None:
+                total = total + F.lit(float(w)) * ((f.value() - F.lit(float(a))) / F.lit(float(b)))
+            else:  # dummies are never scaled: a level adds its weight
+                levels.setdefault(f.source, []).extend((F.lit(f.level), F.lit(float(w))))
+        for source, weights in levels.items():
+            total = total + F.coalesce(F.create_map(*weights)[F.col(source)], F.lit(0.0))
         return total
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -344,7 +397,7 @@ def linear_model(
     Two aggregates over the training rows serve every fold and every penalty.
     """
     if estimator not in ESTIMATORS:
-        raise ValueError(f"Invalid model, got {estimator}. Expecting one of {ESTIMATORS}.")
+        raise ValueError(f"no such estimator: {estimator} (known: {', '.join(ESTIMATORS)})")
     train, test = hashed_split(data, keys, 0.2, seed)
     chosen = features or [c for c in data.columns if c != response and c not in keys]
     plan = plan_features(train, chosen, pp_features)
@@ -384,7 +437,7 @@ def ols_hc3(df: DataFrame, plan: list[Feature], response: str) -> RobustFit:
     """Coefficients with HC3 covariance and normal p-values.
 
     Pass one sums the cross-products; pass two weighs them by the squared leave-one-out
-    residual (e / (1 - h)), with leverage h as a column expression.
+    residual (e / (1 - h)).
     """
     design = Design.measure(df, plan, response)
     total = design.moments(df)[0]
@@ -395,31 +448,19 @@ def ols_hc3(df: DataFrame, plan: list[Feature], response: str) -> RobustFit:
     inverse = np.linalg.inv(xx)
     beta = inverse @ xy
 
-    rows = df.select(*[z.alias(f"z{i}") for i, z in enumerate(design.z(), start=1)], design.y().alias("y"))
-    x = [F.lit(1.0)] + [F.col(f"z{i}") for i in range(1, k + 1)]
-    # h = |L'x|^2 with L the triangular factor of the inverse.
-    factor = np.linalg.cholesky(inverse)
-    leverage, fitted = F.lit(0.0), F.lit(0.0)
-    for j in range(k + 1):
-        part = F.lit(0.0)
-        for i in range(j, k + 1):
-            part = part + F.lit(float(factor[i, j])) * x[i]
-        leverage = leverage + part * part
-        fitted = fitted + F.lit(float(beta[j])) * x[j]
-    weighted = rows.select(
-        *[f"z{i}" for i in range(1, k + 1)], (1 - leverage).alias("slack"), (F.col("y") - fitted).alias("e")
-    )
+    def leave_one_out(z: np.ndarray):
+        """Squared residuals without the row itself; the least slack 1 - h of a row."""
+        x = z[:, :-1]
+        slack = 1 - np.einsum("ij,jk,ik->i", x, inverse, x)
+        if slack.min() < 1e-10:
+            return np.zeros(len(z)), slack.min()
+        return ((z[:, -1] - x @ beta) / slack) ** 2, slack.min()
+
+    gram, low, _ = design.sums(df, F.lit(0), leave_one_out)[0]
     # A row that alone fixes a coefficient has leverage 1 and no leave-one-out residual.
-    usable = weighted.select(
-        *[f"z{i}" for i in range(1, k + 1)], "slack", F.try_divide(F.col("e") * F.col("e"), F.col("slack") * F.col("slack")).alias("w")
-    )
-    cells = [F.min("slack")] + [F.sum(F.col("w") * x[i] * x[j]) for i in range(k + 1) for j in range(i, k + 1)]
-    slack, *sums = usable.agg(*[c.alias(f"m{i}") for i, c in enumerate(cells)]).first()
-    if slack is None or slack < 1e-10:
+    if low[0] < 1e-10:
         raise ValueError("a row has full leverage; HC3 errors are undefined")
-    meat = np.zeros((k + 1, k + 1))
-    meat[np.triu_indices(k + 1)] = sums
-    meat = meat + np.triu(meat, 1).T
+    meat = gram[: k + 1, : k + 1]
     cov = inverse @ meat @ inverse
 
     # From centred and sized columns to the scaled features and the response's own units.
@@ -476,6 +517,7 @@ def qq_points(residuals: DataFrame, points: int = 19) -> DataFrame:
     return exact_percentiles(residuals, "residual", probs).select(F.inline(lines))
 
 
-def residual_scatter(residuals: DataFrame, keys: list[str], fraction: float = 0.1, seed: int = 42) -> DataFrame:
-    """Fitted value and residual of a repeatable sample."""
-    return hashed_fraction(residuals, keys, fraction, seed).select(*keys, "prediction", "residual")
+def residual_scatter(residuals: DataFrame, keys: list[str], fraction: float | None = None, seed: int = 42) -> DataFrame:
+    """Fitted value and residual of every row; of a repeatable sample where a fraction is asked for."""
+    rows = residuals if fraction is None else hashed_fraction(residuals, keys, fraction, seed)
+    return rows.select(*keys, "prediction", "residual")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -237,20 +239,21 @@ def _(spark, d):
 _LINE_CTE = _FEATURES_CTE + """,
     xy AS (SELECT CAST(cs AS DOUBLE) AS x, CAST(total_gold AS DOUBLE) AS y, split_at, fold_at FROM feat),
     line AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, regr_sxx(y, x) AS sxx, regr_slope(y, x) AS b1,
-                    regr_intercept(y, x) AS b0 FROM xy),
-    resid AS (SELECT x, y, y - b0 - b1 * x AS e, 1 - 1.0 / n - (x - mx) * (x - mx) / sxx AS slack, line.* FROM xy CROSS JOIN line)"""
+                    regr_intercept(y, x) AS b0 FROM xy WHERE split_at >= 0.2),
+    resid AS (SELECT x, y, y - b0 - b1 * x AS e, 1 - 1.0 / n - (x - mx) * (x - mx) / sxx AS slack, line.*
+              FROM xy CROSS JOIN line WHERE split_at >= 0.2)"""
 
 
 @query("ml05_ols_hc3", _sql(f"""
-    SELECT 'const' AS feature, {round_sql("any_value(b0)", 4)} AS coef,
-           {round_sql("sqrt(sum(power(e / slack, 2) * power(1.0 / n - mx * (x - mx) / sxx, 2)))", 4)} AS std_err FROM resid
+    SELECT feature, {round_sql("coef", 4)} AS coef, {round_sql("std_err", 4)} AS std_err,
+           abs(coef / std_err) >= 1.959963984540054 AS significant FROM (SELECT 'const' AS feature, any_value(b0) AS coef,
+           sqrt(sum(power(e / slack, 2) * power(1.0 / n - mx * (x - mx) / sxx, 2))) AS std_err FROM resid
     UNION ALL
-    SELECT 'remainder__cs', {round_sql("any_value(b1)", 4)},
-           {round_sql("sqrt(sum(power(e / slack, 2) * power((x - mx) / sxx, 2)))", 4)} FROM resid""", _LINE_CTE))
+    SELECT 'remainder__cs', any_value(b1), sqrt(sum(power(e / slack, 2) * power((x - mx) / sxx, 2))) FROM resid)""", _LINE_CTE))
 def _(spark, d):
-    rows = features(spark, d)
+    rows = sampling.hashed_split(features(spark, d), PLAYER)[0]
     fit = regression.ols_hc3(rows, regression.plan_features(rows, ["cs"]), "total_gold")
-    return _rounded(fit.table(spark).select("feature", "coef", "std_err"), 4)
+    return _rounded(fit.table(spark).drop("pvalue"), 4)
 
 
 @query("ml05_ols_hc3_all_features")
@@ -261,7 +264,8 @@ def _(spark, d):
 
 
 def _line_residuals(spark: SparkSession, d: str) -> DataFrame:
-    rows = features(spark, d)
+    """Residuals of the training part, which the diagnostics are about."""
+    rows = sampling.hashed_split(features(spark, d), PLAYER)[0]
     return regression.ols_hc3(rows, regression.plan_features(rows, ["cs"]), "total_gold").model.residuals(rows)
 
 
@@ -275,24 +279,35 @@ def _(spark, d):
 
 
 @query("ml06_residual_histogram", _sql(f"""
-    SELECT b.bin, {round_sql("coalesce(c.cnt, 0) / n", 6)} AS share
-    FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) b CROSS JOIN (SELECT count(*) AS n FROM resid) t
+    SELECT b.bin, {round_sql("coalesce(c.cnt, 0) / n", 6)} AS share,
+           {round_sql("(lo + b.bin * (hi - lo) / 20)", 4)} AS bin_start, {round_sql("(lo + (b.bin + 1) * (hi - lo) / 20)", 4)} AS bin_end,
+           {round_sql("((hi - lo) / 20 * exp(-power((lo + (b.bin + 0.5) * (hi - lo) / 20 - m) / s, 2) / 2) / (s * sqrt(2 * pi())))", 6)} AS normal_share
+    FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) b CROSS JOIN (SELECT count(*) AS n, min(e) AS lo, max(e) AS hi, avg(e) AS m, stddev_samp(e) AS s FROM resid) t
     LEFT JOIN (SELECT CAST(least(floor((e - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin, count(*) AS cnt
                FROM resid CROSS JOIN (SELECT min(e) AS lo, max(e) AS hi FROM resid) GROUP BY 1) c ON c.bin = b.bin""", _LINE_CTE))
 def _(spark, d):
-    return _rounded(regression.residual_histogram(_line_residuals(spark, d), 20).select("bin", "share"))
+    bins = regression.residual_histogram(_line_residuals(spark, d), 20)
+    for name, digits in (("share", 6), ("normal_share", 6), ("bin_start", 4), ("bin_end", 4)):
+        bins = _rounded(bins, digits, name)
+    return bins
+
+
+_NORMAL = ", ".join(f"({i / 20}::DOUBLE, {NormalDist().inv_cdf(i / 20)!r}::DOUBLE)" for i in range(1, 20))
 
 
-@query("ml06_qq_points")
+@query("ml06_qq_points", _sql(f"""
+    SELECT p AS probability, {round_sql("z", 6)} AS normal_quantile,
+           {round_sql("(((SELECT quantile_cont(e, [" + ", ".join(str(i / 20) for i in range(1, 20)) + "]) FROM resid)[CAST(round(p * 20) AS INTEGER)] - (SELECT avg(e) FROM resid)) / (SELECT stddev_samp(e) FROM resid))", 6)} AS residual_quantile
+    FROM (VALUES {_NORMAL}) AS normal(p, z)""", _LINE_CTE))
 def _(spark, d):
-    return regression.qq_points(_line_residuals(spark, d))
+    return _rounded(_rounded(regression.qq_points(_line_residuals(spark, d)), 6, "normal_quantile"), 6, "residual_quantile")
 
 
 @query("ml06_residual_scatter", _sql(f"""
     SELECT match_id, participant_pos_id, {round_sql("(b0 + b1 * cs)", 4)} AS prediction, {round_sql("(total_gold - b0 - b1 * cs)", 4)} AS residual
-    FROM feat CROSS JOIN line WHERE split_at < 0.1""", _LINE_CTE))
+    FROM feat CROSS JOIN line WHERE split_at >= 0.2""", _LINE_CTE))
 def _(spark, d):
-    return _rounded(regression.residual_scatter(_line_residuals(spark, d), PLAYER, 0.1), 4)
+    return _rounded(regression.residual_scatter(_line_residuals(spark, d), PLAYER), 4)
 
 
 def _one_feature(spark, d, estimator, grid=None):
