@@ -1,10 +1,16 @@
-"""Join helpers: current-version lookups, unresolved references, and hot-key spreading."""
+"""Join helpers: current-version lookups, unresolved references, and hot-key spreading.
+
+Joins on keys that cannot be hot (a match has ten seats) are plain equi-joins, which AQE splits where
+a partition is skewed; `HotKeys` is for keys that can hold a large share of a side.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arenalake.workspace import written
+
 SALT = "__salt"
 
 
@@ -31,8 +37,8 @@ class HotKeys:
     """Spread the frequent values of one join key over several tasks.
 
     The frequent values come from `freqItems` (at most `1 / support` of them, and every value
-    above that share is found), used as a scalar subquery, so nothing is collected to the
-    driver. One side goes through `spread`, the other through `replicate`, and both join on the
+    above that share is found). The list is written once, so both sides read the same one, and used
+    as a scalar subquery, so nothing is collected to the driver. One side goes through `spread`, the other through `replicate`, and both join on the
     key columns plus `SALT`. The result is exactly that of the plain join.
 
     The salt is a hash of the row and of the file split it was read from. It does not depend on
@@ -42,7 +48,7 @@ class HotKeys:
 
     def __init__(self, df: DataFrame, key: str, support: float = 0.02, salts: int = 32):
         self.key, self.salts = key, salts
-        self._frequent = df.select(key).stat.freqItems([key], support).scalar()
+        self._frequent = written(df.select(key).stat.freqItems([key], support), "hot-keys").scalar()
 
     def _is_hot(self) -> Column:
         return F.coalesce(F.array_contains(self._frequent, F.col(self.key)), F.lit(False))
@@ -70,4 +76,4 @@ def spread_join(
 
 def trace_back(findings: DataFrame, raw: DataFrame, on: list[str]) -> DataFrame:
     """Attach the raw-layer rows (already carrying cleaned keys) a finding came from."""
-    return spread_join(findings, raw, on, from_scan=False)
+    return findings.join(raw, on)

@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arenalake.functions.scalars import ITEM_TIERS
+
+# Category -> tier as a map literal.
+TIER_SQL = "map {" + ", ".join(f"'{name}': {rank}" for rank, name in enumerate(ITEM_TIERS, start=1)) + "}"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 

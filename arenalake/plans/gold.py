@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenalake.functions import scalars as S
-from arenalake.operators.joins import SALT, HotKeys, current, lookup, spread_join, trace_back, unresolved
+from arenalake.operators.joins import current, lookup, trace_back, unresolved
 from arenalake.operators.quality import keep_valid
 from arenalake.operators.ranking import (
     distinct_members, mode_by, ranks_to_columns, slot_pairs, top_k,
@@ -19,6 +19,7 @@ from arenalake.operators.snapshots import last_per_side, last_snapshot
 from arenalake.plans.contracts import EXPECTATIONS
 from arenalake.plans.silver import player_keys
 from arenalake.schemas import ITEM_SLOTS, PIVOT_MEASURES
+from arenalake.workspace import written
 
 PLAYER = ["match_id", "participant_pos_id"]
 SIDES = ["BLUE", "RED"]
@@ -38,34 +39,28 @@ def final_snapshot(intervals: DataFrame) -> DataFrame:
 
 
 def held_by(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per filled slot. Exploding first and filtering after stays in generated code."""
-    held = rows.select(*keys, F.explode(F.array(*ITEM_SLOTS)).alias("item_id"))
-    return held.filter(F.col("item_id").isNotNull())
+    """One row per filled slot; empty slots leave the array before it is exploded."""
+    return rows.select(*keys, F.explode(F.array_compact(F.array(*ITEM_SLOTS))).alias("item_id"))
 
 
 def named_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
     """Snapshot with `item_build`, the sorted names of its resolved items.
 
-    A player without items gets NULL, one with only unresolved items an empty array. The
-    snapshot is already partitioned by player, so regrouping after the lookup needs no
-    shuffle as long as the item dimension is small enough to be broadcast.
+    A player without items gets NULL, one with only unresolved items an empty array. Only filled slots
+    go through the lookup, so no NULL ids meet in one task; the names come back by player, by which
+    the snapshot is partitioned already.
     """
-    measures = ["minute", "level", "kills", "deaths", "assists", "cs", "total_gold"]
-    stats = snapshot.select(
-        *PLAYER,
-        F.struct(
-            "minute", "level", "kills", "deaths", "assists",
-            (F.col("cs") + F.col("jungle_cs")).alias("cs"), "total_gold",
-        ).alias("stats"),
-        F.explode(F.array(*ITEM_SLOTS)).alias("item_id"),
-    )
-    named = lookup(stats, items.drop("item_category"), "item_id")
-    build = F.when(F.count("item_id") > 0, F.sort_array(F.collect_list("item_name")))
-    return (
-        named.groupBy(*PLAYER)
-        .agg(F.max("stats").alias("stats"), build.alias("item_build"))
-        .select(*PLAYER, *[F.col(f"stats.{m}").alias(m) for m in measures], "item_build")
+    builds = (
+        lookup(held_by(snapshot, PLAYER), items.drop("item_category"), "item_id")
+        .groupBy(*PLAYER).agg(F.sort_array(F.collect_list("item_name")).alias("item_build"))
     )
+    return player_measures(snapshot).join(builds, PLAYER, "left")
+
+
+def player_measures(snapshot: DataFrame) -> DataFrame:
+    """The snapshot's measures without its items."""
+    cs = (F.col("cs") + F.col("jungle_cs")).alias("cs")
+    return snapshot.select(*PLAYER, "minute", "level", "kills", "deaths", "assists", cs, "total_gold")
 
 
 def tiered_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
@@ -80,16 +75,15 @@ def tiered_builds(snapshot: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def matchend_player_stats(
-    intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
+    intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame, with_build: bool = True
 ) -> DataFrame:
-    """One row per player and match at the last logged snapshot."""
-    hot = HotKeys(players, "match_id")
-    # Narrow player context first; the wide snapshot is shuffled once.
-    context = hot.spread(players.select(*PLAYER, "team", "champion_name", "champion_role")).join(
-        hot.replicate(matches.select("match_id", "winning_team", "game_duration")), ["match_id", SALT]
+    """One row per player and match at the last logged snapshot; without `item_build` no slot is exploded."""
+    snapshot = final_snapshot(intervals)
+    ends = named_builds(snapshot, items) if with_build else player_measures(snapshot)
+    context = players.select(*PLAYER, "team", "champion_name", "champion_role").join(
+        matches.select("match_id", "winning_team", "game_duration"), "match_id"
     )
-    ends = hot.replicate(named_builds(final_snapshot(intervals), items))
-    return context.join(ends, PLAYER + [SALT]).select(
+    return context.join(ends, PLAYER).select(
         *PLAYER,
         "game_duration",
         "team",
@@ -97,7 +91,7 @@ def matchend_player_stats(
         "champion_name",
         "champion_role",
         "level", "kills", "deaths", "assists", "cs", "total_gold",
-        "item_build",
+        *(["item_build"] if with_build else []),
         S.unlogged_duration(F.col("game_duration"), F.col("minute")).alias("unlogged_duration"),
     )
 
@@ -136,15 +130,14 @@ def champion_overviews(matches: DataFrame, players: DataFrame, champions: DataFr
     One join and one aggregate by (champion, role) feed picks, wins and lanes; everything
     after that is the size of the reference table.
     """
-    seats = player_tallies(players, ["match_id", "champion_name", "champion_role", "team"])
     known_team = F.col("team").isNotNull()
     by_role = (
-        seats.join(match_tallies(matches), "match_id")
+        players.select("match_id", "champion_name", "champion_role", "team").join(match_tallies(matches), "match_id")
         .groupBy("champion_name", "champion_role")
         .agg(
-            F.sum(F.col("seats") * F.col("copies")).alias("cnt"),
-            F.sum(F.when(known_team, F.col("seats") * F.col("eligible"))).alias("eligible"),
-            F.sum(F.col("seats") * _for_team("eligible")).alias("wins"),
+            F.sum("copies").alias("cnt"),
+            F.sum(F.when(known_team, F.col("eligible"))).alias("eligible"),
+            F.sum(_for_team("eligible")).alias("wins"),
         )
     )
     played = mode_by(
@@ -193,7 +186,7 @@ def matchend_pivot_teamstats(intervals: DataFrame, matches: DataFrame) -> DataFr
     lead = F.when(F.col("winning_team") == "BLUE", F.col("blue.team_gold_diff")).when(
         F.col("winning_team") == "RED", F.col("red.team_gold_diff")
     )
-    return spread_join(facts, ends, ["match_id"]).select(
+    return facts.join(ends, "match_id").select(
         "match_id", "game_duration", "game_date", "game_version", "winning_team", "average_rank",
         *cells,
         lead.alias("winning_gold_diff"),
@@ -205,7 +198,7 @@ def diff_intervals(intervals: DataFrame, players: DataFrame) -> DataFrame:
     """Gold and experience differences of every snapshot with the player's identity."""
     states = intervals.select(*PLAYER, "minute", "gold_diff", "xp_diff")
     identity = players.select(*PLAYER, "team", "champion_role", "champion_name")
-    return spread_join(states, identity, PLAYER).select(
+    return states.join(identity, PLAYER).select(
         *PLAYER, "minute", "team", "champion_role", "champion_name", "gold_diff", "xp_diff"
     )
 
@@ -213,10 +206,8 @@ def diff_intervals(intervals: DataFrame, players: DataFrame) -> DataFrame:
 def noref_champion_name(players: DataFrame, champions: DataFrame, raw_players: DataFrame) -> DataFrame:
     """Player rows whose champion has no current reference row, with their raw-layer origin."""
     raw = player_keys(raw_players).select(*PLAYER, "ldts", "file_name", "rsrc")
-    hot = HotKeys(players, "match_id")
-    seats = hot.spread(players.select(*PLAYER, "champion_name"))
-    missing = unresolved(seats, current(champions), "champion_name")
-    return missing.join(hot.replicate(raw), PLAYER + [SALT]).select(
+    missing = unresolved(players.select(*PLAYER, "champion_name"), current(champions), "champion_name")
+    return trace_back(missing, raw, PLAYER).select(
         F.col("champion_name").alias("noref_src_champion_name"), "ldts", "file_name", "rsrc"
     )
 
@@ -252,9 +243,9 @@ def _champion_item_counts(
         picks.join(ends, PLAYER)
         .select(
             "champion_name", "picks", "wins", "points", "lives",
-            F.explode(F.concat(player, singles, slot_pairs(ITEM_SLOTS))).alias("held"),
+            # Short builds leave most of the 29 cells empty; they go before the rows are made.
+            F.explode(F.array_compact(F.concat(player, singles, slot_pairs(ITEM_SLOTS)))).alias("held"),
         )
-        .filter(F.col("held").isNotNull())
         .groupBy("champion_name", "held.lo", "held.hi", F.when(is_single, F.col("lives")).alias("lives"))
         .agg(
             F.sum("picks").alias("picks"),
@@ -323,8 +314,10 @@ def co_purchases(counted: DataFrame, items: DataFrame, k: int = 3) -> DataFrame:
 
 def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame) -> DataFrame:
     """Most common first minute of each (champion, item)."""
+    # Repeats within a row leave before the explode; the minimum is taken on the map side.
+    slots = F.array_distinct(F.array_compact(F.array(*ITEM_SLOTS)))
     first_seen = (
-        held_by(intervals, PLAYER + ["minute"])
+        intervals.select(*PLAYER, "minute", F.explode(slots).alias("item_id"))
         .groupBy(*PLAYER, "item_id")
         .agg(F.min("minute").alias("minute"))
     )
@@ -345,8 +338,8 @@ def item_recommendations(
     intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
 ) -> DataFrame:
     """Item statistics and companions per champion."""
-    # Read twice below; its size follows champions x items, not the telemetry.
-    counted = _champion_item_counts(intervals, matches, players).persist()
+    # Read twice below, so written once; its size follows champions x items, not the telemetry.
+    counted = written(_champion_item_counts(intervals, matches, players), "item-counts")
     keys = ["champion_name", "item_id"]
     rows = (
         item_totals(counted)

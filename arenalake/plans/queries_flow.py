@@ -408,12 +408,12 @@ def _(spark, d):
 @query("dq05_staleness", with_px(
     f"""WITH {PLAYER_STATS_CTE} SELECT match_id, participant_pos_id, unlogged_duration FROM player_stats""", *_PX_STATS))
 def _(spark, d):
-    return player_stats(spark, d).select(*PLAYER, "unlogged_duration")
+    return player_stats(spark, d, with_build=False).select(*PLAYER, "unlogged_duration")
 
 
 def stats_table(spark: SparkSession, d: str) -> DataFrame:
     """Player statistics written once, as the analyses read them several times."""
-    return written(player_stats(spark, d).drop("item_build"), "stats")
+    return written(player_stats(spark, d, with_build=False), "stats")
 
 
 @query("dq06_quality_summary", with_px(

@@ -9,7 +9,7 @@ from arenalake.functions import scalars as S
 from arenalake.functions.registry import register_sql_functions
 from arenalake.operators import joins, ranking, sampling, snapshots
 from arenalake.plans import gold
-from arenalake.plans.catalog import Catalog, ratio_sql, round_sql
+from arenalake.plans.catalog import TIER_SQL, Catalog, ratio_sql, round_sql
 from arenalake.plans.proxy import (
     px_champions, px_intervals, px_items, px_matches, px_players, px_raw_players, table, with_px,
 )
@@ -56,9 +56,7 @@ def _(spark, d):
     """SELECT p.match_id, p.participant_pos_id, p.team = m.winning_team AS win
        FROM px_players p JOIN px_matches m ON m.match_id = p.match_id""", "px_players", "px_matches"))
 def _(spark, d):
-    both = joins.spread_join(
-        px_players(spark, d).select(*PLAYER, "team"), px_matches(spark, d).select("match_id", "winning_team"), ["match_id"]
-    )
+    both = px_players(spark, d).select(*PLAYER, "team").join(px_matches(spark, d).select("match_id", "winning_team"), "match_id")
     return both.select(*PLAYER, (F.col("team") == F.col("winning_team")).alias("win"))
 
 
@@ -90,9 +88,8 @@ def _(spark, d):
 
 
 @query("prj08_tier_rank", with_px(
-    """SELECT item_id, item_category,
-              CASE item_category WHEN 'Trinket' THEN 1 WHEN 'Consumable' THEN 2 WHEN 'Starter' THEN 3 WHEN 'Basic' THEN 4
-                   WHEN 'Boots' THEN 5 WHEN 'Epic' THEN 6 WHEN 'Legendary' THEN 7 END AS tier
+    f"""SELECT item_id, item_category,
+              {TIER_SQL}[item_category] AS tier
        FROM px_items""", "px_items"))
 def _(spark, d):
     return px_items(spark, d).select("item_id", "item_category", S.tier_rank("item_category").alias("tier"))
@@ -193,9 +190,7 @@ def _(spark, d):
     """SELECT p.match_id, p.participant_pos_id, m.game_duration
        FROM px_players p JOIN px_matches m ON m.match_id = p.match_id""", "px_players", "px_matches"))
 def _(spark, d):
-    return joins.spread_join(
-        px_players(spark, d).select(*PLAYER), px_matches(spark, d).select("match_id", "game_duration"), ["match_id"]
-    )
+    return px_players(spark, d).select(*PLAYER).join(px_matches(spark, d).select("match_id", "game_duration"), "match_id")
 
 
 @query("jn02_inner_composite_key", with_px(
@@ -203,9 +198,7 @@ def _(spark, d):
        JOIN px_players p ON p.match_id = s.match_id AND p.participant_pos_id = s.participant_pos_id""",
     "px_intervals", "px_players"))
 def _(spark, d):
-    return joins.spread_join(
-        px_intervals(spark, d).select(*PLAYER, "minute"), px_players(spark, d).select(*PLAYER, "champion_name"), PLAYER
-    )
+    return px_intervals(spark, d).select(*PLAYER, "minute").join(px_players(spark, d).select(*PLAYER, "champion_name"), PLAYER)
 
 
 _HELD = f"(SELECT match_id, participant_pos_id, minute, unnest([{_SLOTS}]) AS item_id FROM px_intervals)"
@@ -279,7 +272,7 @@ def _(spark, d):
     sums = px_intervals(spark, d).filter("kills > 5").groupBy(*PLAYER).agg(
         F.count(F.lit(1)).alias("snapshots"), F.max("minute").alias("last_minute")
     )
-    return joins.spread_join(px_players(spark, d).select(*PLAYER, "champion_name"), sums, PLAYER, "left")
+    return px_players(spark, d).select(*PLAYER, "champion_name").join(sums, PLAYER, "left")
 
 
 @query("jn08_one_row_total", f"""
@@ -316,8 +309,7 @@ def _(spark, d):
         ) WHERE item_id IS NOT NULL
     ), tiered AS (
         SELECT h.rid, h.item_id, i.item_category AS cat,
-               CASE i.item_category WHEN 'Trinket' THEN 1 WHEN 'Consumable' THEN 2 WHEN 'Starter' THEN 3
-                    WHEN 'Basic' THEN 4 WHEN 'Boots' THEN 5 WHEN 'Epic' THEN 6 WHEN 'Legendary' THEN 7 END AS tier
+               {TIER_SQL}[i.item_category] AS tier
         FROM held h JOIN px_items i ON i.item_id = h.item_id AND i.__END_AT IS NULL
     )
     SELECT l.item_id, r.item_id AS co_item_id, count(*) AS n FROM tiered l JOIN tiered r ON l.rid = r.rid
@@ -426,8 +418,7 @@ def _(spark, d):
     f"""WITH {SNAPSHOT_CTE},
     held AS (SELECT match_id, participant_pos_id, unnest([{_SLOTS}]) AS item_id FROM snap),
     tiered AS (
-        SELECT h.*, CASE i.item_category WHEN 'Trinket' THEN 1 WHEN 'Consumable' THEN 2 WHEN 'Starter' THEN 3
-               WHEN 'Basic' THEN 4 WHEN 'Boots' THEN 5 WHEN 'Epic' THEN 6 WHEN 'Legendary' THEN 7 END AS tier
+        SELECT h.*, {TIER_SQL}[i.item_category] AS tier
         FROM held h JOIN px_items i ON i.item_id = h.item_id AND i.__END_AT IS NULL
     )
     SELECT match_id, participant_pos_id,
