@@ -13,8 +13,22 @@ from arenalake.sources.csv import RECORD_SOURCE, raw_stream
 from arenalake.sources.tables import stream_table, table_path
 
 
-def append_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append everything available now, then stop. Rerunning adds only new input."""
+# Batch number -> observed metrics by name.
+Observed = dict[int, dict[str, dict[str, int]]]
+
+
+def _observe(query: StreamingQuery, seen: Observed) -> None:
+    for progress in query.recentProgress:
+        metrics = {name: row.asDict() for name, row in progress.observedMetrics.items() if row is not None}
+        seen[progress.batchId] = {**seen.get(progress.batchId, {}), **metrics}
+
+
+def append_available(df: DataFrame, path: str, checkpoint: str, seen: Observed | None = None) -> StreamingQuery:
+    """Append everything available now, then stop. Rerunning adds only new input.
+
+    Spark keeps the newest progress entries only; `seen` is filled every second while the run lasts, so
+    no batch is missed however many there are.
+    """
     query = (
         df.writeStream.format("parquet")
         .option("path", path)
@@ -23,7 +37,10 @@ def append_available(df: DataFrame, path: str, checkpoint: str) -> StreamingQuer
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    seen = {} if seen is None else seen
+    while not query.awaitTermination(1):
+        _observe(query, seen)
+    _observe(query, seen)
     return query
 
 
@@ -49,12 +66,11 @@ def ingest(
     return append_available(rows, table_path(root, "bronze", table), checkpoint_path(root, "bronze", table))
 
 
-def rule_counts(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Observed metrics of a finished run, summed over its micro-batches."""
+def rule_counts(seen: Observed, name: str) -> dict[str, int]:
+    """Observed metrics of a run, summed over its micro-batches."""
     totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        metrics = progress.observedMetrics.get(name)
-        for field, value in (metrics.asDict() if metrics is not None else {}).items():
+    for metrics in seen.values():
+        for field, value in metrics.get(name, {}).items():
             totals[field] = totals.get(field, 0) + value
     return totals
 
@@ -66,5 +82,6 @@ def refine(
     rules = EXPECTATIONS[f"silver.{table}"] if rules is None else rules
     raw = stream_table(spark, root, "bronze", table, schemas.bronze_schema(table))
     rows = schemas.conform(enforce(CLEANERS[table](raw), table, rules), schemas.SILVER[table])
-    query = append_available(rows, table_path(root, "silver", table), checkpoint_path(root, "silver", table))
-    return rule_counts(query, table)
+    seen: Observed = {}
+    append_available(rows, table_path(root, "silver", table), checkpoint_path(root, "silver", table), seen)
+    return rule_counts(seen, table)
