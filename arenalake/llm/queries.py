@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arenalake.llm import chat, decontaminate, language, language_model, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
-from arenalake.llm.sql import OP1, OP2
+from arenalake.llm.sql import OP1, OP2, OP4
 from arenalake.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -54,7 +54,7 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-@CATALOG.query("op4_chat_formatting")
+@CATALOG.query("op4_chat_formatting", OP4)
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     extra = spark.sql("SELECT -7L AS conv_id, t.turn, t.role, t.text FROM VALUES (0L, 'user', :said), (1L, 'assistant', :said) AS t(turn, role, text)", args={"said": said})

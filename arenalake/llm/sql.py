@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from arenalake.llm.chat import BUDGET, CONTROL, END, START
 from arenalake.llm.quality import BASE, FENCE, MIN_ROWS
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -99,3 +100,46 @@ comp AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
 SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.a = w.doc_id
 """
+
+def _escaped(text: str) -> str:
+    """Length of a text with its backslashes doubled and one more before the rest of every control string."""
+    signs = " + ".join(f"(length({text}) - length(replace({text}, '{c}', ''))) // {len(c)}" for c in CONTROL)
+    return f"(2 * length({text}) - length(replace({text}, chr(92), '')) + {signs})"
+
+
+_STRIDE = BUDGET // 4
+_OK = "</s>[INST] ok [/INST]"
+
+# Turns are dealt into windows as the operator states it; lengths follow from counting what escaping adds.
+OP4 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_OK}'), (-7, 1, 'assistant', '{_OK}')),
+s AS (
+  SELECT *, row_number() OVER w AS n, greatest(CAST(ceil(length(text) / 4.0) AS BIGINT), 1) AS size FROM t
+  WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+b AS (SELECT *, CAST((sum(size) OVER (PARTITION BY conv_id ORDER BY n) - size) AS BIGINT) // {_STRIDE} AS block FROM s),
+c AS (
+  SELECT *, coalesce(block <> lag(block) OVER w OR size > {_STRIDE} OR lag(size) OVER w > {_STRIDE}, TRUE) AS fresh FROM b
+  WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+d AS (SELECT *, CAST(sum(fresh::INT) OVER (PARTITION BY conv_id ORDER BY n) - 1 AS BIGINT) AS win FROM c),
+e AS (
+  SELECT *, max(win) OVER (PARTITION BY conv_id) AS last, lead(win) OVER w AS w1, lead(win, 2) OVER w AS w2,
+         size + lead(size) OVER w AS two FROM d
+  WINDOW w AS (PARTITION BY conv_id ORDER BY n)),
+f AS (
+  SELECT conv_id, n, role, text, win,
+         CASE WHEN n = 1 AND role = 'system' THEN last
+              ELSE coalesce((w1 <> win AND size <= {_STRIDE})::INT, 0) + coalesce((w2 <> w1 AND two <= {_STRIDE})::INT, 0)
+              END AS again,
+         last
+  FROM e),
+g AS (
+  SELECT *, {len(START)} + {_escaped("role")} + length(role) - length(replace(role, chr(10), '')) + 1
+            + {_escaped("text")} + {len(END)} + 1 AS chars FROM f)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars * (1 + coalesce(again, 0))) AS BIGINT) AS formatted_chars, max(last) + 1 AS n_windows
+FROM g GROUP BY conv_id
+"""
