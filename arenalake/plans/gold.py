@@ -334,14 +334,14 @@ def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame)
     )
 
 
-def item_recommendations(
+def unchecked_recommendations(
     intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
 ) -> DataFrame:
-    """Item statistics and companions per champion."""
+    """Item statistics and companions per champion, before the table's rules are applied."""
     # Read twice below, so written once; its size follows champions x items, not the telemetry.
     counted = written(_champion_item_counts(intervals, matches, players), "item-counts")
     keys = ["champion_name", "item_id"]
-    rows = (
+    return (
         item_totals(counted)
         .join(current(items).select("item_id", "item_name", "item_category"), "item_id")
         .join(co_purchases(counted, items), keys, "left")
@@ -351,4 +351,12 @@ def item_recommendations(
             "most_common_first_purchase_minute", "top_item_1", "top_item_2", "top_item_3",
         )
     )
-    return keep_valid(rows, EXPECTATIONS["gold.item_recommendations"])
+
+
+def item_recommendations(
+    intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
+) -> DataFrame:
+    """Recommendations that satisfy the table's rules."""
+    return keep_valid(
+        unchecked_recommendations(intervals, matches, players, items), EXPECTATIONS["gold.item_recommendations"]
+    )

@@ -62,6 +62,9 @@ def test_rerun_adds_nothing(spark, lake):
     assert counts[0]["players"]["valid_participant_pos_id"] == 1
     assert counts[0]["intervals"]["valid_team"] == 1 and counts[0]["intervals"]["ok_interval_of_5"] == 1
     assert counts[1]["players"].get("rows", 0) == 0
+    assert set(counts[0]["champion_overviews"]) == {"ok_balance_winrate", "ok_balance_banrate", "ok_balance_pickrate"}
+    assert counts[0]["item_recommendations"].keys() == {"valid_champion_name", "valid_item_name"}
+    assert counts[0]["duplicate_keys"]["silver.matches"] == 0 and "gold.matchend_player_stats" in counts[0]["duplicate_keys"]
     sizes = {t: silver_table(spark, root, t).count() for t in ("matches", "players", "intervals")}
     assert sizes == {"matches": 1, "players": 2, "intervals": 4}
     assert tables.read_table(spark, root, "bronze", "players").count() == 3
