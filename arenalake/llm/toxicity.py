@@ -131,8 +131,9 @@ def train_words(positive: list[str], counts: list[int], negative: list[str]) ->
     # Landmarks: the words most toxic texts share, and evenly drawn clean ones.
     marks = [positive[i] for i in order[:half]] + sorted(negative)[:: max(1, len(negative) // half)][:half]
     word, place, weight = _features(marks)
-    phi = np.zeros((len(marks), TABLE), np.float32)
-    np.add.at(phi, (word, place), weight)
+    known, at = np.unique(place, return_inverse=True)  # only these places of the table are ever used
+    phi = np.zeros((len(marks), len(known)), np.float32)
+    np.add.at(phi, (word, at), weight)
     gram = (phi @ phi.T).astype(float)
     values, vectors = np.linalg.eigh(gram)
     keep = values > 1e-4 * values.max()
@@ -143,7 +144,10 @@ def train_words(positive: list[str], counts: list[int], negative: list[str]) ->
         out = np.zeros((len(words), basis.shape[1] + 1), np.float32)
         for begin in range(0, len(words), 2000):
             some = words[begin:begin + 2000]
-            w, p, v = _features(some)
+            w, places, v = _features(some)
+            p = np.minimum(np.searchsorted(known, places), len(known) - 1)
+            hit = known[p] == places
+            w, p, v = w[hit], p[hit], v[hit]
             for c in range(basis.shape[1]):
                 out[begin:begin + len(some), c] = np.bincount(w, v * basis[p, c], len(some))
         out[:, -1] = 1
@@ -175,7 +179,9 @@ def train_words(positive: list[str], counts: list[int], negative: list[str]) ->
         weight = np.concatenate([strength[live], origin])
         weight = np.concatenate([weight / weight.sum(), np.full(len(xn), 1 / len(xn))]) * len(x)
         u = _fit(x, y, weight, penalty=1.0)
-    return Machine((basis @ u[:-1]).astype(np.float32), float(u[-1]))
+    table = np.zeros(TABLE, np.float32)
+    table[known] = basis @ u[:-1]
+    return Machine(table, float(u[-1]))
 
 
 class Scorer:
