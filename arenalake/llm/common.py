@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arenalake.workspace import new_dir, shared_dir, written
 
-__all__ = ["anti", "bind", "crc_mod", "docs_of", "new_dir", "scale_partitions", "semi", "shared_dir", "table", "written"]
+__all__ = ["anti", "bind", "crc_mod", "docs_of", "new_dir", "release", "semi", "shared_dir", "table", "written"]
 
 # White space of the word rules: blank, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -52,5 +53,11 @@ def anti(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(known, docs["doc_id"].eqNullSafe(known[name]), "left_anti")
 
 
-def scale_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps.
+
+    The cleaner acts when the driver collects garbage, which a driver with little to do puts off; long jobs
+    of many written steps would keep every step's shuffle files until then.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

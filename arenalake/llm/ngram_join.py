@@ -33,15 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import docs_of, semi, written
+from arenalake.llm.common import docs_of, release, semi, written
 from arenalake.llm.graph import components
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
 
-_SETS = "doc_id long, n_shingles long, f1 long, f2 long, empty int, least int, light array<long>, light_up array<long>, heavy array<long>"
+_SETS = "doc_id long, n_shingles long, f1 long, f2 long"
+_KEYS = "doc_id long, kind int, key long"
+# Kinds of keys: fixed-size subsets seen from the smaller size and from the larger one, inverted lists.
+SMALLER, LARGER, PART = 0, 1, 2
 # Subsets are enumerated for sets up to the size where one set would need more than this many.
 _MOST_SUBSETS = 64
 _SKETCH = 8  # longs of the parity sketch
-_FIELDS = ("f1", "f2", "empty", "least", "light", "light_up", "heavy")
 
 
 @dataclass(frozen=True)
@@ -107,9 +109,9 @@ def _light_keys(s: np.ndarray, others: list[int], sim: Similarity) -> np.ndarray
     return np.concatenate(keys)
 
 
-def _heavy_keys(s: np.ndarray, sim: Similarity) -> tuple[np.ndarray, int, int]:
-    """Keys (class, part, content); the most empty parts of a class; the least equal keys of a link."""
-    keys, empty, least = [], 0, 1 << 30
+def _heavy_keys(s: np.ndarray, sim: Similarity) -> tuple[np.ndarray, int]:
+    """Keys (class, part, content), and the least number of equal keys two linked sets have in a class."""
+    keys, least = [], 1 << 30
     scrambled = mix(s)
     for index, parts, d in sim.classes(len(s)):
         part = ((s >> np.uint64(33)) * np.uint64(parts) >> np.uint64(31)).astype(np.int64)
@@ -125,45 +127,54 @@ def _heavy_keys(s: np.ndarray, sim: Similarity) -> tuple[np.ndarray, int, int]:
             least = min(least, parts - d - none)
         else:
             least = 1
-        empty = max(empty, none)
         keys.append(key)
-    return np.concatenate(keys), empty, least
+    return np.concatenate(keys), least
 
 
-def _set_rows(sim: Similarity):
+def _set_rows(k: int):
+    """Size and 128-bit fingerprint of every set."""
+
     def rows(batches):
         hashes = WordHashes()
         for batch in batches:
-            out = {name: [] for name in ("n", *_FIELDS)}
-            for text in texts(batch):
+            sets = [shingles(hashes.of(lower_words(text)), k) for text in texts(batch)]
+            with np.errstate(over="ignore"):
+                prints = [np.array([mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64)], np.uint64) for s in sets]
+            prints = np.array(prints, np.uint64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [column(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64())]
+                + [pa.array(signed(np.ascontiguousarray(prints[:, i]))) for i in (0, 1)],
+                names=["doc_id", "n_shingles", "f1", "f2"],
+            )
+
+    return rows
+
+
+def _key_rows(sim: Similarity, limit: int):
+    """Subset keys of light sets; list keys of all that are or may link with heavy ones."""
+
+    def rows(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            ids, kinds, keys = [], [], []
+            for doc_id, text in zip(column(batch, "doc_id").to_pylist(), texts(batch)):
                 s = shingles(hashes.of(lower_words(text)), sim.k)
                 n = len(s)
-                out["n"].append(n)
                 if not n:
-                    for name in _FIELDS:
-                        out[name].append(None)
                     continue
-                with np.errstate(over="ignore"):
-                    out["f1"].append(int(signed(mix(s).sum(dtype=np.uint64, keepdims=True))[0]))
-                    out["f2"].append(int(signed(mix(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64, keepdims=True))[0]))
-                    small = n <= sim.light_limit
-                    sizes = sim.partners(n)
-                    out["light"].append(signed(_light_keys(s, [x for x in sizes if x >= n], sim)) if small else None)
-                    out["light_up"].append(signed(_light_keys(s, [x for x in sizes if x < n], sim)) if small else None)
-                    heavy, empty, least = _heavy_keys(s, sim)
-                out["empty"].append(empty)
-                out["least"].append(least)
-                out["heavy"].append(signed(heavy))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    column(batch, "doc_id"), pa.array(out["n"], pa.int64()), pa.array(out["f1"], pa.int64()),
-                    pa.array(out["f2"], pa.int64()), pa.array(out["empty"], pa.int32()),
-                    pa.array(out["least"], pa.int32()), pa.array(out["light"], pa.list_(pa.int64())),
-                    pa.array(out["light_up"], pa.list_(pa.int64())),
-                    pa.array(out["heavy"], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", *_FIELDS],
-            )
+                found = []
+                if n <= limit:
+                    others = sim.partners(n)
+                    found.append((SMALLER, _light_keys(s, [x for x in others if n <= x <= limit], sim)))
+                    found.append((LARGER, _light_keys(s, [x for x in others if x < n], sim)))
+                if n * sim.den > limit * sim.num:
+                    found.append((PART, _heavy_keys(s, sim)[0]))
+                for kind, key in found:
+                    keys.append(signed(key))
+                    kinds.append(np.full(len(key), kind, np.int32))
+                    ids.append(np.full(len(key), doc_id, np.int64))
+            flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((ids, np.int64), (kinds, np.int32), (keys, np.int64))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], names=["doc_id", "kind", "key"])
 
     return rows
 
@@ -174,19 +185,21 @@ def _odd_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-_ELEMENTS = "doc_id long, items array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
+_ELEMENTS = "doc_id long, size long, least int, items array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
 
 
-def _element_rows(k: int):
+def _element_rows(sim: Similarity):
     def rows(batches):
         hashes = WordHashes()
         for batch in batches:
-            sets = [shingles(hashes.of(lower_words(text)), k) for text in texts(batch)]
+            sets = [shingles(hashes.of(lower_words(text)), sim.k) for text in texts(batch)]
             sketches = np.array([_odd_sketch(s) for s in sets]).reshape(-1, _SKETCH)
+            least = [_heavy_keys(s, sim)[1] if len(s) else 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array([signed(s) for s in sets], pa.list_(pa.int64()))]
+                [column(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(least, pa.int32()),
+                 pa.array([signed(s) for s in sets], pa.list_(pa.int64()))]
                 + [pa.array(sketches[:, i]) for i in range(_SKETCH)],
-                names=["doc_id", "items", *[f"s{i}" for i in range(_SKETCH)]],
+                names=["doc_id", "size", "least", "items", *[f"s{i}" for i in range(_SKETCH)]],
             )
 
     return rows
@@ -223,102 +236,96 @@ def _fits(sim: Similarity, a: str, b: str):
 
 
 def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of `docs`."""
-    docs = docs_of(docs)
-    small_batches(docs.sparkSession)
-    sets = written(docs.mapInArrow(_set_rows(sim), _SETS), "sets")
-    groups = (
-        sets.filter("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep")).filter("rep IS NOT NULL")
-    )
-    reps = sets.join(
-        groups.select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep"),
-        (F.col("doc_id") == F.col("rep")) & (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")),
-    ).select("doc_id", F.col("n_shingles").alias("size"), "least", "light", "light_up", "heavy")
-    limit = boundary(sets.filter("n_shingles > 0"), sim)
-
-    small = reps.filter(F.col("size") <= limit)
-    light = small.select("doc_id", F.lit(0).alias("up"), F.explode("light").alias("key")).union(
-        small.select("doc_id", F.lit(1), F.explode("light_up"))
-    )
-    # A key names two sizes. Sets of the smaller one link with every member of the list; members of the
-    # larger one alone are not linked by it.
-    smaller_first = Window.partitionBy("key").orderBy("up", "doc_id")
-    ties = (
-        light.withColumn("first", F.first(F.struct("doc_id", "up")).over(smaller_first))
-        .filter((F.col("doc_id") != F.col("first.doc_id")) & (F.col("first.up") == 0))
-        .select(F.col("doc_id").alias("a"), F.col("first.doc_id").alias("b"))
-        .distinct()
-    )
+    """(doc_id, n_shingles, component_id) per row of `docs`.
 
-    # Lists with two or more members; the leader is drawn per list, so no set leads them all.
-    keys = reps.filter(F.col("size") * sim.den > limit * sim.num).select(
-        "doc_id", "size", "least", F.explode("heavy").alias("key")
+    Texts are read three times (fingerprints, keys, and the elements of listed sets), which costs less
+    than keeping the arrays.
+    """
+    spark, docs = docs.sparkSession, docs_of(docs)
+    small_batches(spark)
+    sets = written(docs.mapInArrow(_set_rows(sim.k), _SETS), "sets")
+    full = sets.filter("n_shingles > 0")
+    groups = full.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("c")).filter("rep IS NOT NULL")
+    limit = boundary(full, sim)
+
+    # Equal sets are one set: ids that only repeat another's take no part any more.
+    again = groups.filter("c > 1").select(F.col("f1").alias("g1"), F.col("f2").alias("g2"), "rep")
+    copies = (
+        full.join(again, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")))
+        .filter("doc_id != rep").select("doc_id")
+        .join(groups.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
     )
-    drawn = Window.partitionBy("key").orderBy(F.xxhash64("key", "doc_id"), "doc_id")
+    copies = written(copies.distinct(), "copies")
+    own = docs.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
+
+    # Lists with two or more members. Light lists are led by a set of the smaller size, which links with
+    # every member; the leader of a heavy list is drawn per list, so no set leads them all.
+    keys = own.select("doc_id", "text").mapInArrow(_key_rows(sim, limit), _KEYS)
+    drawn = Window.partitionBy("key").orderBy("kind", F.xxhash64("key", "doc_id"), "doc_id")
     led = (
-        keys.withColumn("leader", F.first(F.struct("doc_id", "size")).over(drawn))
+        keys.withColumn("leader", F.first(F.struct("doc_id", "kind")).over(drawn))
         .withColumn("next", F.lead("doc_id").over(drawn))
         .filter((F.col("leader.doc_id") != F.col("doc_id")) | F.col("next").isNotNull())
-        .select("key", "doc_id", "size", "least", F.col("leader.doc_id").alias("leader"), F.col("leader.size").alias("leader_size"))
+        .select("key", "kind", "doc_id", F.col("leader.doc_id").alias("leader"), F.col("leader.kind").alias("leader_kind"))
     )
     lists = written(led.distinct(), "lists")
-
-    items = written(
-        semi(docs, lists).mapInArrow(_element_rows(sim.k), _ELEMENTS).dropDuplicates(["doc_id"]),
-        "items",
-    )
-    first = (
-        lists.filter((F.col("doc_id") != F.col("leader")) & _fits(sim, "size", "leader_size"))
-        .groupBy("doc_id", "leader").count()
-        .groupBy("doc_id").agg(F.max_by("leader", F.struct("count", "leader")).alias("b"))
-        .select(F.col("doc_id").alias("a"), "b")
-    )
-    links = written(_verified(first, items, sim).union(ties), "links")
-    classes = components(links)
-
-    # A second star round: leaders whose class a member is not in yet, as far as sketches allow a link.
+    release(spark)
+    # Members of the larger size alone are not linked by a subset.
+    ties = lists.filter((F.col("leader_kind") == SMALLER) & (F.col("doc_id") != F.col("leader"))).select(
+        F.col("doc_id").alias("a"), F.col("leader").alias("b")
+    ).distinct()
+    heavy = lists.filter(F.col("kind") == PART).select("key", "doc_id", "leader")
+
+    listed = semi(docs, heavy)
+    if full.groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        listed = listed.dropDuplicates(["doc_id"])
+    items = written(listed.mapInArrow(_element_rows(sim), _ELEMENTS), "items")
+    release(spark)
     sketch = [f"s{i}" for i in range(_SKETCH)]
+    facts = lambda suffix: items.select(*[F.col(c).alias(f"{c}{suffix}") for c in ("doc_id", "size", "least", *sketch)])
     apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in sketch), F.lit(0))
-    near = lambda a, b: apart * (sim.den + sim.num) <= (F.col(a) + F.col(b)) * (sim.den - sim.num)
-    class_of = lambda df, end, name: (
-        df.join(classes.select(F.col("id").alias("cid"), F.col("component").alias("cc")), F.col(end) == F.col("cid"), "left")
-        .withColumn(name, F.coalesce("cc", end)).drop("cid", "cc")
+    # Sizes and sketches allow a link.
+    near = _fits(sim, "size", "size_b") & (
+        apart * (sim.den + sim.num) <= (F.col("size") + F.col("size_b")) * (sim.den - sim.num)
     )
-    led_apart = class_of(class_of(lists, "doc_id", "class"), "leader", "leader_class").filter(
-        (F.col("class") != F.col("leader_class")) & _fits(sim, "size", "leader_size")
+    stars = written(
+        heavy.filter("doc_id != leader").select("doc_id", F.col("leader").alias("doc_id_b")).distinct()
+        .join(facts(""), "doc_id").join(facts("_b"), "doc_id_b").filter(near)
+        .select(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), apart.alias("apart")),
+        "stars",
     )
-    sketched = lambda end, suffix: items.select(
-        F.col("doc_id").alias(end), *[F.col(c).alias(f"{c}{suffix}") for c in sketch]
-    )
-    stars = (
-        led_apart.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"), "size", "leader_size").distinct()
-        .join(sketched("a", ""), "a").join(sketched("b", "_b"), "b").filter(near("size", "leader_size"))
-    )
-    links = written(links.union(_verified(stars, items, sim)), "links")
+    release(spark)
+    # First star round: each member and its nearest leader.
+    nearest = stars.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+    links = written(_verified(nearest, items, sim).union(ties), "links")
+    release(spark)
+    classes = components(links)
+
+    def class_of(df: DataFrame, end: str, name: str) -> DataFrame:
+        known = classes.select(F.col("id").alias("cid"), F.col("component").alias("cc"))
+        return df.join(known, F.col(end) == F.col("cid"), "left").withColumn(name, F.coalesce("cc", end)).drop("cid", "cc")
+
+    # Second star round: leaders whose class a member is not in yet.
+    rest = class_of(class_of(stars, "a", "class_a"), "b", "class_b").filter("class_a != class_b")
+    links = written(links.union(_verified(rest, items, sim)), "links")
+    release(spark)
     classes = components(links)
 
-    placed = class_of(lists, "doc_id", "class").select("key", "doc_id", "size", "least", "class")
+    # What is left: pairs of a list in different classes, met and judged inside the join.
+    placed = class_of(heavy, "doc_id", "class").drop("leader")
     mixed = placed.groupBy("key").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi")
-    # Pairs are met inside the join and leave it only if sizes and sketches allow a link.
-    open_lists = written(
-        placed.join(mixed.select("key"), "key", "left_semi").join(items.select("doc_id", *sketch), "doc_id"), "open"
-    )
+    open_lists = written(placed.join(mixed.select("key"), "key", "left_semi").join(facts(""), "doc_id"), "open")
+    release(spark)
     other = open_lists.select("key", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "size", "least", "class", *sketch)])
-    met = (
-        (F.col("class") < F.col("class_b"))
-        & _fits(sim, "size", "size_b")
-        & near("size", "size_b")
-    )
     mine = open_lists.withColumnRenamed("key", "own_key")
     second = (
-        mine.join(other, (F.col("own_key") == F.col("key")) & met)
+        mine.join(other, (F.col("own_key") == F.col("key")) & (F.col("class") < F.col("class_b")) & near)
         .groupBy(F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"))
         .agg(F.count(F.lit(1)).alias("equal"), F.max("least").alias("la"), F.max("least_b").alias("lb"))
         # Linked sets share at least so many listed parts in a class.
         .filter(F.col("equal") >= F.greatest("la", "lb"))
     )
-    more = _verified(second, items, sim)
-    classes = written(components(links.union(more)), "classes")
+    classes = written(components(links.union(_verified(second, items, sim))), "classes")
 
     # Written, so that the join by fingerprint has two plain sides and a group of copies can be split.
     found = written(
@@ -327,7 +334,7 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         ),
         "found",
     )
-    return sets.join(found, (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")), "left").select(
+    met = (F.col("f1") == F.col("g1")) & (F.col("f2") == F.col("g2")) & (F.col("n_shingles") > 0)
+    return sets.join(found, met, "left").select(
         "doc_id", "n_shingles", F.coalesce("class", "doc_id").alias("component_id")
     )
-
