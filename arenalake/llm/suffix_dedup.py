@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import written
+from arenalake.llm.common import release, written
 from arenalake.llm.words import column, mix, small_batches, texts
 
 LENGTH = 400
@@ -297,13 +297,17 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, Data
     keyed = _keyed(docs)
     first = written(keyed.mapInArrow(_first_rows, _FIRST), "anchors")
     anchors = first.select("k", "h", F.inline("anchors"))
-    repeated = anchors.groupBy(F.col("gram").alias("g")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    # Written, so that the join has two plain sides and a frequent piece can be split.
+    repeated = written(
+        anchors.groupBy(F.col("gram").alias("g")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("g"), "repeated"
+    )
     lists = (
         anchors.join(repeated, F.col("gram") == F.col("g"), "left_semi")
         .groupBy(F.col("k").alias("lk"), F.col("h").alias("lh")).agg(F.collect_set(F.struct("at", "lo", "hi")).alias("anchors"))
     )
     met = keyed.join(lists, (F.col("k") == F.col("lk")) & (F.col("h") == F.col("lh")))
     some = written(met.select("k", "h", "text", "anchors"), "candidates")
+    release(docs.sparkSession)
     stretches = written(some.mapInArrow(_stretch_rows, _STRETCHES), "stretches")
 
     own = F.struct("k", "h", "start")
@@ -314,6 +318,7 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, Data
     members = written(
         distinct.join(several.select("core"), "core", "left_semi").select("core", "first.*", "c"), "members"
     )
+    release(docs.sparkSession)
     buckets = max(1, -(-members.count() // BUCKET))
     wanted = members.groupBy(F.col("k").alias("wk"), F.col("h").alias("wh")).agg(
         F.collect_list(F.struct("core", "start")).alias("wanted")
