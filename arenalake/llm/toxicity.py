@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import docs_of
+from arenalake.llm.common import docs_of, written
 from arenalake.llm.words import column, small_batches, texts
 
 LAMBDA = 0.75
@@ -269,8 +269,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     )
     sizes = known.groupBy(F.col("label").alias("of")).count()
     share = F.col("count") * (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1e6) < DOCS
-    chosen = known.join(sizes, F.col("label") == F.col("of")).filter(share).select("id", "label")
-    sample = docs_of(docs).join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "text", "label")
+    # About 2 x DOCS ids whatever the input, so they are broadcast; the sampled texts are written and read thrice.
+    chosen = F.broadcast(written(known.join(sizes, F.col("label") == F.col("of")).filter(share).select("id", "label"), "chosen"))
+    sample = written(
+        docs_of(docs).join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "text", "label"), "sample"
+    )
     counted = sample.mapInArrow(_word_rows, "word string, label int").groupBy("word").agg(
         F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
     )
