@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arenalake.workspace import new_dir, shared_dir, written
 
-__all__ = ["anti", "bind", "crc_mod", "docs_of", "new_dir", "release", "semi", "shared_dir", "table", "written"]
+__all__ = ["anti", "bind", "crc_mod", "docs_of", "new_dir", "release", "row_anti", "row_keys", "semi", "shared_dir", "table", "written"]
 
 # White space of the word rules: blank, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -53,6 +53,26 @@ def anti(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(known, docs["doc_id"].eqNullSafe(known[name]), "left_anti")
 
 
+NO_ID = -(1 << 63)
+
+
+def row_keys(k: str = "k", h: str = "h") -> list[Column]:
+    """A row's doc_id (one fixed number for NULL) and the hash of its text, NULL being empty."""
+    return [
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias(k),
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(h),
+    ]
+
+
+def row_anti(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of `docs` whose doc_id and text are not among the row keys (k, h) of `keys`; columns never clash."""
+    tag = uuid.uuid4().hex[:8]
+    names = [f"{c}_{tag}" for c in "kh"]
+    known = keys.select(*[F.col(c).alias(n) for c, n in zip("kh", names)]).distinct()
+    k, h = row_keys()
+    return docs.join(known, (k == F.col(names[0])) & (h == F.col(names[1])), "left_anti")
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of finished steps.
 

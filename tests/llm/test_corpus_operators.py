@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -193,6 +194,69 @@ def test_leaks_edges(spark, edge_docs, no_docs, sf_dir):
     assert decontaminate.leaks(no_docs, b).count() == 0 == decontaminate.leaks(edge_docs, b.limit(0)).count()
 
 
+def _leaked(hits):
+    """Whether the best stretch (matches minus twice the substitutions) of these places matches enough."""
+    score = count = best = matched = 0
+    for hit in hits:
+        if score <= 0:
+            score = count = 0
+        score, count = score + (1 if hit else -2), count + hit
+        if score > best:
+            best, matched = score, count
+    return matched >= min(decontaminate.MATCHED, math.ceil(len(hits) * 0.75))
+
+
+def _without(n, gone):
+    return [i not in gone for i in range(n)]
+
+
+def test_leak_seeds_cover_every_accepted_overlap():
+    for n in range(5, 22):
+        masks = (decontaminate.SHORTEST,) if n == decontaminate.SHORT else decontaminate.MASKS
+        for hits in (_without(n, gone) for many in range(8 if n < 19 else 6) for gone in combinations(range(n), many)):
+            if _leaked(hits):
+                assert any(
+                    all(hits[at + i] for i, c in enumerate(mask) if c == "1")
+                    for mask in masks for at in range(n - len(mask) + 1)
+                ), hits
+
+
+def test_leaks_with_substitutions(spark, prose):
+    """All overlaps with one to three substitutions against brute force."""
+    items = [(n, " ".join(f"i{n}x{j}" for j in range(n))) for n in (5, 6, 8, 12, 13, 14, 16, 20)]
+    docs, want = [], set()
+    for n, text in items:
+        patterns = [g for many in (1, 2, 3) for g in combinations(range(n), many)]
+        for gone in random.Random(n).sample(patterns, min(len(patterns), 150)):
+            w = [f"sub{j}" if j in gone else x for j, x in enumerate(text.split())]
+            docs.append((len(docs), f"{prose(len(docs), 6)} {' '.join(w)} {prose(n, 5)}"))
+            if _leaked(_without(n, gone)):
+                want.add((len(docs) - 1, n))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} == want
+
+
+def test_leaks_null_items_and_blankless_scripts(spark, prose):
+    other = prose(41, 20)
+    items = [(None, prose(40, 20)), (None, other), (7, "昨日駅前の新しい図書館で古い地図を見つけた"), (8, prose(42, 20)), (8, prose(43, 20))]
+    docs = [
+        (1, f"{prose(1, 9)} {items[0][1]}"), (2, f"{other} {prose(2, 9)}"), (3, "では始めに昨日駅前の新しい博物館で古い地図を見つけたと言う"),
+        (4, items[3][1]), (5, items[4][1]), (6, "昨日は雨だった"),
+    ]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(d, b).collect()} == {(1, None), (2, None), (3, 7), (4, 8), (5, 8)}
+
+
+def test_leaks_judge_rows(spark, prose):
+    """Rows that share an id, or have none, are judged each for itself."""
+    item = prose(50, 30)
+    docs = [(i, t) for i in (None, 1) for t in (f"{prose(1, 9)} {item}", prose(2, 60), prose(3, 60))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.item_id) for r in decontaminate.leaks(d, b).collect()) == [(0, 1), (1, 1)]
+    key = lambda rows: sorted((i or 0, t) for i, t in rows)
+    assert key(map(tuple, decontaminate.decontaminated(d, b).collect())) == key(r for r in docs if item not in r[1])
+
+
 def test_language_model(spark, edge_docs, no_docs, prose):
     train = [(i, prose(i, 40 + i)) for i in range(30)] + [(90, None), (91, ""), (92, "The THE the")]
     schema = "doc_id long, text string"
