@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arenalake.workspace import new_dir, shared_dir, written
 
-__all__ = ["anti", "bind", "crc_mod", "docs_of", "new_dir", "release", "row_anti", "row_keys", "semi", "shared_dir", "table", "written"]
+__all__ = ["bind", "crc_mod", "docs_of", "new_dir", "release", "row_anti", "row_keys", "row_semi", "semi", "shared_dir", "table", "written"]
 
 # White space of the word rules: blank, tab, line feed, vertical tab, form feed, return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -47,12 +47,6 @@ def semi(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.join(known, docs["doc_id"].eqNullSafe(known[name]), "left_semi")
 
 
-def anti(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id (NULL equals NULL) is not among `keys`."""
-    known, name = _keyed(keys)
-    return docs.join(known, docs["doc_id"].eqNullSafe(known[name]), "left_anti")
-
-
 NO_ID = -(1 << 63)
 
 
@@ -64,13 +58,24 @@ def row_keys(k: str = "k", h: str = "h") -> list[Column]:
     ]
 
 
-def row_anti(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Rows of `docs` whose doc_id and text are not among the row keys (k, h) of `keys`; columns never clash."""
+def _on_rows(docs: DataFrame, keys: DataFrame, how: str, also: tuple[str, ...]) -> DataFrame:
     tag = uuid.uuid4().hex[:8]
-    names = [f"{c}_{tag}" for c in "kh"]
-    known = keys.select(*[F.col(c).alias(n) for c, n in zip("kh", names)]).distinct()
+    known = keys.select(*[F.col(c).alias(f"{c}_{tag}") for c in ("k", "h", *also)]).distinct()
     k, h = row_keys()
-    return docs.join(known, (k == F.col(names[0])) & (h == F.col(names[1])), "left_anti")
+    on = (k == F.col(f"k_{tag}")) & (h == F.col(f"h_{tag}"))
+    for c in also:
+        on = on & docs[c].eqNullSafe(F.col(f"{c}_{tag}"))
+    return docs.join(known, on, how)
+
+
+def row_semi(docs: DataFrame, keys: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of `docs` whose doc_id and text (and columns `also`) are among `keys` (k, h, ...); columns never clash."""
+    return _on_rows(docs, keys, "left_semi", also)
+
+
+def row_anti(docs: DataFrame, keys: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of `docs` whose doc_id and text (and columns `also`) are not among `keys`."""
+    return _on_rows(docs, keys, "left_anti", also)
 
 
 def release(spark: SparkSession) -> None:

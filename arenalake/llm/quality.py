@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import SPACE_RUN, SPACES, bind, written
+from arenalake.llm.common import SPACE_RUN, SPACES, bind, row_keys, written
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -76,7 +76,7 @@ def _repeat_words(words: Column) -> Column:
 
 
 def measures(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts the rules are made of."""
+    """doc_id, row keys k and h, lang, source and the counts the rules are made of."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     trimmed = F.btrim(F.col("t"), F.lit(SPACES))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE_RUN))
@@ -108,14 +108,14 @@ def measures(docs: DataFrame) -> DataFrame:
         ),
     )
     return (
-        docs.select("doc_id", "lang", "source", text.alias("t"))
+        docs.select("doc_id", *row_keys(), "lang", "source", text.alias("t"))
         .select(
-            "doc_id", "lang", "source",
+            "doc_id", "k", "h", "lang", "source",
             counted.alias("w"),
             line_counts.alias("l"),
             sign_counts.alias("s"),
         )
-        .select("doc_id", "lang", "source", "w.*", "l.*", "s.*")
+        .select("doc_id", "k", "h", "lang", "source", "w.*", "l.*", "s.*")
     )
 
 
@@ -184,7 +184,12 @@ def thresholds(leaves: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
-    """One row per document: counts, base_failed, kept, and the names of the adaptive rules it broke.
+    """What `judged` returns, without its keys."""
+    return judged(docs).drop("k", "h", "lang", "source")
+
+
+def judged(docs: DataFrame) -> DataFrame:
+    """One row per document: row keys (k, h, lang, source), counts, base_failed, kept, and the names of the adaptive rules it broke.
 
     The measured counts are written once; sketches and the filter join both read them. The join
     has no hint: Spark broadcasts the fences while they are small, and AQE splits the hot source
@@ -205,5 +210,5 @@ def quality_rules(docs: DataFrame) -> DataFrame:
         .withColumn("base_failed", base_failed)
         .withColumn("broken", F.array_compact(F.array(*broken)))
         .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
-        .select("doc_id", *BASE, "base_failed", "kept", F.array_join("broken", ",").alias("broken_rules"))
+        .select("doc_id", "k", "h", "lang", "source", *BASE, "base_failed", "kept", F.array_join("broken", ",").alias("broken_rules"))
     )

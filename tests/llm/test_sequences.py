@@ -163,3 +163,22 @@ def test_pipeline_edges(spark, edge_docs, no_docs, sf_dir):
                 ids = [r.doc_id for r in at.select("doc_id").collect()]
                 assert len(ids) == len(set(ids))
         at.collect()
+
+
+def test_pipeline_judges_rows(spark, prose, sf_dir):
+    """A failing row takes no other row of its doc_id, or without one, along."""
+    texts = [prose(700 + i, 150) for i in range(4)]
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").filter("size(split(text, ' ')) > 14").first().text
+    rows = [(i, t, "en", "s") for i in (None, 5) for t in (*texts, "short", "", f"{prose(800, 90)} {item} {prose(801, 90)}")]
+    rows += [(6, texts[0], "en", "s"), (4, texts[1] + " more", "en", "s"), (5, texts[2], "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    read = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality_rules"](spark, docs, sf_dir)
+    assert read(good) == sorted((i or 0, t) for i, t, *_ in rows if len(t) > 5)
+    apart = stages["ngram_jaccard_join"](spark, docs, sf_dir)
+    # Without an id all stay; of near copies the smallest id; rows alike once.
+    want = [(0, r[1]) for r in rows if r[0] is None] + [(5, r[1]) for r in rows[7:14] if r[1] != texts[1]] + [(4, texts[1] + " more")]
+    assert read(apart) == sorted(want)
+    clean = stages["benchmark_decontamination"](spark, docs, sf_dir)
+    assert read(clean) == sorted((i or 0, t) for i, t, *_ in rows if item not in t)
