@@ -138,7 +138,7 @@ _SENTENCES = [
     ("mpl-2", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", 5, 1.0),
     ("ofl", "open font license", r"this font software is licensed under the sil open font license", 10, 1.0),
     ("python", "python software foundation", r"python software foundation license(?: version 2)?", 25, 0.9),
-    ("ruby", "ruby license", r"(?:same terms as|under the) ruby(?: license)?", 40, 0.7),
+    ("ruby", "ruby", r"(?:same terms as|under the) ruby(?: license)?", 40, 0.7),
     ("perl", "perl itself", r"under the same terms as perl itself", 20, 0.9),
     ("vim", "vim license", r"vim license", 30, 0.9),
     ("beerware", "beer ware", r"the beer ware license", 20, 0.95),
@@ -158,7 +158,7 @@ _SENTENCES = [
     ("non-commercial", "non commercial", r"(?:for )?non commercial (?:use|purposes) only", 50, 0.6),
     ("copyleft", "copyleft", r"copyleft licen[cs]e", 55, 0.4),
     ("permissive", "permissive", r"permissive licen[cs]e", 55, 0.4),
-    ("eula", "end user license", r"end user licen[cs]e agreement", 50, 0.6),
+    ("eula", "end user licen", r"end user licen[cs]e agreement", 50, 0.6),
     ("dual", "dual licensed", r"dual licensed under", 50, 0.5),
 ]
 

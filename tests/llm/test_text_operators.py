@@ -91,6 +91,44 @@ def test_license_containment():
     assert len(licenses.rules()) > 300
 
 
+def _alternatives(parsed):
+    """Texts of all branches, options and character sets of a parsed pattern; wildcards stand for one letter."""
+    found = [""]
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(value)]
+        elif name == "IN":
+            more = [chr(v) for o, v in value if str(o) == "LITERAL"]
+        elif name == "BRANCH":
+            more = [t for branch in value[1] for t in _alternatives(branch)]
+        elif name == "SUBPATTERN":
+            more = _alternatives(value[3])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, _, what = value
+            more = ([""] if low == 0 else []) + _alternatives(what)
+        elif name == "ANY":
+            more = ["x"]
+        else:
+            assert name == "ASSERT_NOT", name
+            more = [""]
+        found = [a + b for a in found for b in more]
+    return found
+
+
+def test_license_gate_drops_no_match():
+    """Gated and ungated scans agree on every alternative of every rule."""
+    from re import _parser
+
+    scanner, every = licenses.Scanner(), licenses.Scanner()
+    every.candidates = lambda text: range(len(every.rules))
+    for i, rule in enumerate(scanner.rules):
+        for text in _alternatives(_parser.parse(rule.pattern)):
+            assert re.search(rule.pattern, text) and i in scanner.candidates(text), (rule, text)
+    for text in ("same terms as ruby", "under the ruby license", "end user licence agreement", "end user license agreement"):
+        assert scanner.detections(text) == every.detections(text) != []
+
+
 def test_language_spans(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = language.train(docs.filter(crc_mod(4) != 2))
