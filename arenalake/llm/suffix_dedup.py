@@ -1,4 +1,4 @@
-"""Exact repeated substrings of LENGTH bytes by bucketed suffix order and longest previous factors.
+"""Exact repeated substrings of LENGTH bytes by bucketed suffix order and runs of equal prefixes.
 
 Sorting every suffix of a corpus moves hundreds of bytes per byte. Here the suffix order is cut down to
 what can matter and dealt into buckets that never split equal strings:
@@ -10,8 +10,8 @@ what can matter and dealt into buckets that never split equal strings:
    whole stretches are one: they stand for each other, however many there are, and need no sorting.
 3. One member of each distinct stretch whose core has several goes to the bucket of its core. There the
    suffixes are ranked by prefix doubling. In suffix order, suffixes with a common prefix of LENGTH bytes
-   form a run; a suffix has an earlier match (longest previous factor >= LENGTH) exactly if the previous or
-   next smaller position in suffix order lies in its run, so if it is not the run's least position.
+   form a run; a suffix has an earlier match (longest previous factor >= LENGTH) exactly if it is not the
+   run's least position, so runs stand in for the factors, which are not computed.
 
 `keep="none"` removes every occurrence, `keep="first"` only those with an earlier match; earlier is by
 doc_id, then place.
