@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, decontaminate, language, language_model, licenses, ngram_join, packing, quality, suffix_dedup, toxicity
+from arenalake.llm import chat, decontaminate, language, language_model, licenses, mixing, ngram_join, packing, quality, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
-from arenalake.llm.sql import OP1, OP2, OP4
+from arenalake.llm.sql import OP1, OP2, OP4, OP13
 from arenalake.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -72,3 +72,8 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_model.train(docs.filter(crc_mod(7) != 2))
     return language_model.score(docs, model).withColumn("held_out", crc_mod(7) == 2)
+
+
+@CATALOG.query("op13_source_mix", OP13)
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))

@@ -143,3 +143,67 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
        CAST(sum(chars * (1 + coalesce(again, 0))) AS BIGINT) AS formatted_chars, max(last) + 1 AS n_windows
 FROM g GROUP BY conv_id
 """
+
+
+def _mix_rounds(rounds: int) -> str:
+    """One turned-over document per source and round."""
+    parts = []
+    for i in range(1, rounds + 1):
+        before = f"SELECT source, gap FROM gaps0" if i == 1 else f"SELECT source, CASE WHEN gap > 0 THEN gap - size ELSE gap + size END AS gap FROM pick{i - 1}"
+        done = " UNION ALL ".join(f"SELECT source, rank, doc_id, digest, j FROM pick{k}" for k in range(1, i))
+        skip = f"AND NOT EXISTS (SELECT 1 FROM ({done}) o WHERE o.rank = c.rank AND o.digest = c.digest AND o.j = c.j AND o.doc_id IS NOT DISTINCT FROM c.doc_id AND o.source IS NOT DISTINCT FROM c.source)" if done else ""
+        parts.append(f"""pick{i} AS (
+  SELECT * EXCLUDE (n) FROM (
+    SELECT c.source, c.rank, c.doc_id, c.digest, c.j, c.size, g.gap,
+           row_number() OVER (PARTITION BY c.source ORDER BY abs(c.size - abs(g.gap)), c.rank, c.doc_id NULLS FIRST, c.digest, c.j) AS n
+    FROM cut c JOIN ({before}) g ON g.source IS NOT DISTINCT FROM c.source
+    WHERE c.chosen = (g.gap < 0) AND abs(c.size - abs(g.gap)) < abs(g.gap) {skip}) WHERE n = 1)""")
+    return ",\n".join(parts)
+
+
+# Sources that stop at their most come first in the order of most per weight; the others share what is left.
+OP13 = f"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS size
+  FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+named AS (
+  SELECT *, [3.0::DOUBLE, 1.0::DOUBLE, 2.0::DOUBLE][(row_number() OVER (ORDER BY source IS NULL, source COLLATE "C") - 1) % 3 + 1] AS weight,
+         2.0::DOUBLE * source_size AS most, (SELECT sum(source_size) * 1.5::DOUBLE FROM src) AS budget
+  FROM src),
+shared AS (
+  SELECT *, (budget - coalesce(sum(most) OVER (ORDER BY most / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY most / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lam
+  FROM named),
+lam AS (SELECT max(lam) AS lam FROM shared),
+goal AS (
+  SELECT source, source_size,
+         CASE WHEN source_size = 0 THEN 0.0::DOUBLE WHEN weight * (SELECT lam FROM lam) > most THEN most ELSE weight * (SELECT lam FROM lam) END AS target
+  FROM named),
+rated AS (
+  SELECT s.doc_id, s.source, s.digest, s.size, g.source_size, g.target,
+         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0::DOUBLE END AS rate,
+         row_number() OVER (PARTITION BY s.doc_id, s.digest, s.source) - 1 AS j
+  FROM sized s JOIN goal g ON g.source IS NOT DISTINCT FROM s.source),
+drawn AS (
+  SELECT *, floor(rate) AS whole, rate - floor(rate) AS p,
+         (CAST('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), ''), digest, CAST(j AS VARCHAR), '0')), 1, 13) AS BIGINT)
+          + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM rated),
+ranked AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS rank FROM drawn),
+cut AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id NULLS FIRST, digest, j ROWS UNBOUNDED PRECEDING)
+         <= target - sure, FALSE) AS chosen
+  FROM (SELECT *, sum(whole * size) OVER (PARTITION BY source) AS sure FROM ranked)
+  WHERE rank IS NOT NULL),
+gaps0 AS (SELECT source, any_value(target - sure) - coalesce(sum(size) FILTER (WHERE chosen), 0) AS gap FROM cut GROUP BY source),
+{_mix_rounds(3)},
+flips AS ({" UNION ALL ".join(f"SELECT source, rank, doc_id, digest, j FROM pick{k}" for k in (1, 2, 3))})
+SELECT r.doc_id, r.source, r.digest, r.size, r.source_size, r.target, r.rate,
+       CAST(r.whole + CASE WHEN coalesce(c.chosen, FALSE) != (f.rank IS NOT NULL) THEN 1 ELSE 0 END AS BIGINT) AS copies,
+       CAST(r.size * (r.whole + CASE WHEN coalesce(c.chosen, FALSE) != (f.rank IS NOT NULL) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ranked r
+LEFT JOIN cut c ON c.rank = r.rank AND c.digest = r.digest AND c.j = r.j AND c.doc_id IS NOT DISTINCT FROM r.doc_id AND c.source IS NOT DISTINCT FROM r.source
+LEFT JOIN flips f ON f.rank = r.rank AND f.digest = r.digest AND f.j = r.j AND f.doc_id IS NOT DISTINCT FROM r.doc_id AND f.source IS NOT DISTINCT FROM r.source
+"""
