@@ -207,3 +207,44 @@ FROM ranked r
 LEFT JOIN cut c ON c.rank = r.rank AND c.digest = r.digest AND c.j = r.j AND c.doc_id IS NOT DISTINCT FROM r.doc_id AND c.source IS NOT DISTINCT FROM r.source
 LEFT JOIN flips f ON f.rank = r.rank AND f.digest = r.digest AND f.j = r.j AND f.doc_id IS NOT DISTINCT FROM r.doc_id AND f.source IS NOT DISTINCT FROM r.source
 """
+
+
+# Unsigned crc32, byte by byte: its table follows from the reversed polynomial.
+_CRC_TABLE = """(SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i)
+   FROM (SELECT unnest(range(256)) AS i))"""
+
+# Words one edit apart share what is left of them without one letter: the longer word lost it, or both differ there.
+OP11 = rf"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(text, '[A-Za-z\x{{00C0}}-\x{{00FF}}]+') AS runs FROM documents),
+runs AS (
+  SELECT rid, doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS c
+  FROM (SELECT rid, doc_id, unnest(runs) AS run FROM docs) GROUP BY ALL),
+bytes AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+         lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END)) AS b
+  FROM runs),
+sums AS (
+  SELECT rid, run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda x, y: xor(x >> 8, t[CAST(xor(x & 255, y) AS INTEGER) + 1])), 4294967295::BIGINT) AS h
+  FROM bytes, crc),
+slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, c
+  FROM sums),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT DISTINCT a.word AS w, b.word AS v, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word != b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+best AS (SELECT w, count(*) AS n_near, min({{'m': -m, 'v': v}}) AS top FROM near GROUP BY w),
+formed AS MATERIALIZED (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -top.m >= 2 * n THEN top.v END AS form, CASE WHEN -top.m >= 2 * n THEN -top.m END AS form_n
+  FROM words LEFT JOIN best ON w = word),
+chain(word, spot) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.spot WHERE formed.form IS NOT NULL),
+ends AS (SELECT chain.word, spot AS root FROM chain JOIN formed ON formed.word = chain.spot WHERE formed.form IS NULL)
+SELECT word, n, CAST(n_near AS BIGINT) AS n_near, form, CAST(form_n AS BIGINT) AS form_n, root FROM formed JOIN ends USING (word)
+"""
