@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arenalake.llm import chat, decontaminate, language, language_model, licenses, mixing, ngram_join, packing, quality, spelling, suffix_dedup, toxicity
+from arenalake.llm import chat, decontaminate, language, language_model, lexical, licenses, mixing, ngram_join, packing, quality, spelling, suffix_dedup, toxicity
 from arenalake.llm.common import crc_mod, table
-from arenalake.llm.sql import OP1, OP2, OP4, OP11, OP13
+from arenalake.llm.sql import OP1, OP2, OP4, OP11, OP12, OP13
 from arenalake.plans.catalog import Catalog
 
 CATALOG = Catalog()
@@ -82,3 +82,8 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @CATALOG.query("op11_spelling_variants", OP11)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), slips=97)
+
+
+@CATALOG.query("op12_lexical_search", OP12)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -248,3 +248,27 @@ chain(word, spot) AS (
 ends AS (SELECT chain.word, spot AS root FROM chain JOIN formed ON formed.word = chain.spot WHERE formed.form IS NULL)
 SELECT word, n, CAST(n_near AS BIGINT) AS n_near, form, CAST(form_n AS BIGINT) AS form_n, root FROM formed JOIN ends USING (word)
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP12 = f"""
+WITH q AS (
+  SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS t FROM benchmark)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS ts FROM documents),
+size AS (SELECT rid, doc_id, CAST(len(ts) AS BIGINT) AS n FROM d WHERE len(ts) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+tf AS (
+  SELECT rid, t, count(*) AS tf FROM (SELECT rid, unnest(ts) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY rid, t),
+w AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), total),
+scored AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t) JOIN size USING (rid), total
+  GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
