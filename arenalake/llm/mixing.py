@@ -14,7 +14,7 @@ counted before anything is shuffled and then numbered in blocks.
 
 Defined cases: a NULL text has no word; a NULL source is a source of its own, the last one; rows without words get
 their copies but add nothing; equal rows (doc_id, text, source) are sampled each for itself; a missing, NULL or
-negative measure counts as 0; an empty table mixes into nothing; other columns are ignored by `mix` and carried by
+negative measure counts as 0 (a source whose measured documents cannot fill its target stays below it); an empty table mixes into nothing; other columns are ignored by `mix` and carried by
 `mixed` (equal rows there share the columns of one of them). Reruns agree, however rows are dealt.
 """
 
@@ -95,12 +95,13 @@ def targets(items: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float
     """(source, source_size, target) per source."""
     sizes = items.groupBy("source").agg(F.sum(F.col("size") * F.col("c")).alias("source_size"))
     placed = written(numbered(sizes, F.col("source").isNull(), F.col("source")), "sources")
-    total = placed.agg((F.sum("source_size") * F.lit(float(share))).alias("budget"))
+    total = placed.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
-    rows = placed.join(total).select(
-        "source", "source_size", weight.alias("weight"), (F.lit(float(most)) * F.col("source_size")).alias("most"), "budget", F.lit(0).alias("all")
+    rows = placed.select(
+        "source", "source_size", weight.alias("weight"), (F.lit(float(most)) * F.col("source_size")).alias("most"),
+        F.lit(total * float(share)).alias("budget"), F.lit(0).alias("all"),
     )
-    got = _reshared(rows, "all", "budget")
+    got = _reshared(written(rows, "weighed"), "all", "budget")
     return got.select("source", "source_size", F.when(F.col("source_size") > 0, F.col("got")).otherwise(0.0).alias("target"))
 
 
