@@ -6,6 +6,8 @@ resolve names last, and weight rows by how often they repeat instead of multiply
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from arenalake.functions import scalars as S
 from arenalake.operators.joins import current, lookup, trace_back, unresolved
 from arenalake.operators.quality import keep_valid
 from arenalake.operators.ranking import (
-    distinct_members, mode_by, ranks_to_columns, slot_pairs, top_k,
+    distinct_members, mode_by, ranks_to_columns, top_k,
 )
 from arenalake.operators.snapshots import last_per_side, last_snapshot
 from arenalake.plans.contracts import EXPECTATIONS
@@ -28,6 +30,10 @@ SIDES = ["BLUE", "RED"]
 NO_FIRST_PURCHASE = ["Other", "Legacy", "Distributed"]
 REMAKE_SECONDS = 300
 
+# Players of one champion that one task counts; and the bits of an item id (never negative) in a cell.
+CHAMPION_ROWS = 1_000_000
+_ITEM_BITS = 31
+
 # Player columns a match-end snapshot carries besides key and minute. They also settle ties,
 # in this order, when two rows share the last minute.
 _SNAPSHOT = ["level", "kills", "deaths", "assists", "cs", "jungle_cs", "total_gold"] + ITEM_SLOTS
@@ -212,16 +218,8 @@ def noref_champion_name(players: DataFrame, champions: DataFrame, raw_players: D
     )
 
 
-def _champion_item_counts(
-    intervals: DataFrame, matches: DataFrame, players: DataFrame
-) -> DataFrame:
-    """Final builds counted per (champion, lo, hi, lives) in one pass.
-
-    `hi` NULL: one item; both NULL: the player; otherwise an unordered pair of items held
-    together. A build repeated by duplicate player rows counts once per copy for items and
-    once per pair of copies for pairs. `lives` (deaths + 1) splits the single items so that the
-    average KDA comes from whole-number sums, the same in whatever order rows arrive.
-    """
+def player_states(intervals: DataFrame, matches: DataFrame, players: DataFrame) -> DataFrame:
+    """One row per seat and champion: how often it counts (`picks`, `wins`) and its last snapshot's score and items."""
     seats = player_tallies(players, PLAYER + ["champion_name", "team"])
     picks = (
         seats.join(match_tallies(matches), "match_id")
@@ -234,19 +232,50 @@ def _champion_item_counts(
     ends = final_snapshot(intervals).select(
         *PLAYER, (F.col("kills") + F.col("assists")).alias("points"), (F.col("deaths") + 1).alias("lives"), *ITEM_SLOTS
     )
-    whole = lambda lo: F.struct(lo.alias("lo"), F.lit(None).cast("int").alias("hi"))
-    player = F.array(whole(F.lit(None).cast("int")))
-    singles = F.array(*[F.when(F.col(slot).isNotNull(), whole(F.col(slot))) for slot in ITEM_SLOTS])
-    is_single = F.col("held.lo").isNotNull() & F.col("held.hi").isNull()
+    return picks.join(ends, PLAYER).drop(*PLAYER)
+
+
+def champion_item_counts(states: DataFrame, task_rows: int = CHAMPION_ROWS) -> DataFrame:
+    """Final builds counted per (champion, lo, hi, lives) in one pass.
+
+    `hi` NULL: one item; both NULL: the player; otherwise an unordered pair of items held
+    together. A build repeated by duplicate player rows counts once per copy for items and
+    once per pair of copies for pairs. `lives` (deaths + 1) splits the single items so that the
+    average KDA comes from whole-number sums, the same in whatever order rows arrive.
+
+    A player makes up to 29 cells. Players of one champion go to one task before their cells are made, so the cells
+    never travel. A champion with more than `task_rows` players is left where it is: there a task has many players
+    of few champions, and adding up its cells before they travel is what shrinks them.
+    """
+    per_champion = states.groupBy("champion_name").agg(F.count(F.lit(1)).alias("n"))
+    frequent = written(per_champion.filter(F.col("n") > task_rows).select(F.col("champion_name").alias("of")), "frequent")
+    is_it = F.col("champion_name").eqNullSafe(F.col("of"))
+    few = states.join(frequent, is_it, "left_anti").repartition("champion_name")
+    many = states.join(frequent, is_it, "left_semi")
+    return _cell_counts(few).union(_cell_counts(many))
+
+
+def _cell_counts(states: DataFrame) -> DataFrame:
+    """Cells are whole numbers: -1 the player, an item its id, a pair the smaller id + 1 beside the larger one."""
+    pairs = [
+        F.when(
+            F.col(a) != F.col(b),
+            F.shiftleft(F.least(a, b).cast("long") + 1, _ITEM_BITS).bitwiseOR(F.greatest(a, b).cast("long")),
+        )
+        for a, b in combinations(ITEM_SLOTS, 2)
+    ]
+    single = [F.col(slot).cast("long") for slot in ITEM_SLOTS]
+    is_single = (F.col("cell") >= 0) & (F.col("cell") < F.lit(1 << _ITEM_BITS))
     scored = F.col("points").isNotNull() & (F.col("lives") != 0)
-    return (
-        picks.join(ends, PLAYER)
-        .select(
+    first, second = F.shiftright("cell", _ITEM_BITS), F.col("cell").bitwiseAND(F.lit((1 << _ITEM_BITS) - 1))
+    counted = (
+        states.select(
             "champion_name", "picks", "wins", "points", "lives",
-            # Short builds leave most of the 29 cells empty; they go before the rows are made.
-            F.explode(F.array_compact(F.concat(player, singles, slot_pairs(ITEM_SLOTS)))).alias("held"),
+            F.explode(F.array(F.lit(-1).cast("long"), *single, *pairs)).alias("cell"),
         )
-        .groupBy("champion_name", "held.lo", "held.hi", F.when(is_single, F.col("lives")).alias("lives"))
+        # Empty slots.
+        .filter("cell IS NOT NULL")
+        .groupBy("champion_name", "cell", F.when(is_single, F.col("lives")).alias("lives"))
         .agg(
             F.sum("picks").alias("picks"),
             F.sum(F.col("picks") * F.col("picks")).alias("together"),
@@ -255,6 +284,12 @@ def _champion_item_counts(
             F.sum(F.when(scored, F.col("picks"))).alias("scored"),
         )
     )
+    return counted.select(
+        "champion_name",
+        F.when(first > 0, first - 1).when(first == 0, second).cast("int").alias("lo"),
+        F.when(first > 0, second).cast("int").alias("hi"),
+        "lives", "picks", "together", "wins", "points", "scored",
+    )
 
 
 def item_totals(counted: DataFrame) -> DataFrame:
@@ -312,12 +347,15 @@ def co_purchases(counted: DataFrame, items: DataFrame, k: int = 3) -> DataFrame:
     return ranks_to_columns(best, keys, "co_item", k, "top_item_")
 
 
-def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame) -> DataFrame:
-    """Most common first minute of each (champion, item)."""
+def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame, seated: bool = False) -> DataFrame:
+    """Most common first minute of each (champion, item). `seated`: the frames are laid out by seat or match already."""
     # Repeats within a row leave before the explode; the minimum is taken on the map side.
     slots = F.array_distinct(F.array_compact(F.array(*ITEM_SLOTS)))
+    # Snapshots go to their seat before slots are laid out; grouping by item and the join with the seat stay there.
+    held = intervals.select(*PLAYER, "minute", slots.alias("slots"))
+    held = held if seated else held.repartition(*PLAYER)
     first_seen = (
-        intervals.select(*PLAYER, "minute", F.explode(slots).alias("item_id"))
+        held.select(*PLAYER, "minute", F.explode("slots").alias("item_id"))
         .groupBy(*PLAYER, "item_id")
         .agg(F.min("minute").alias("minute"))
     )
@@ -335,17 +373,18 @@ def first_purchases(intervals: DataFrame, players: DataFrame, items: DataFrame)
 
 
 def unchecked_recommendations(
-    intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame
+    intervals: DataFrame, matches: DataFrame, players: DataFrame, items: DataFrame, seated: bool = False
 ) -> DataFrame:
     """Item statistics and companions per champion, before the table's rules are applied."""
+    states = written(player_states(intervals, matches, players), "player-states")
     # Read twice below, so written once; its size follows champions x items, not the telemetry.
-    counted = written(_champion_item_counts(intervals, matches, players), "item-counts")
+    counted = written(champion_item_counts(states), "item-counts")
     keys = ["champion_name", "item_id"]
     return (
         item_totals(counted)
         .join(current(items).select("item_id", "item_name", "item_category"), "item_id")
         .join(co_purchases(counted, items), keys, "left")
-        .join(first_purchases(intervals, players, items), keys, "left")
+        .join(first_purchases(intervals, players, items, seated), keys, "left")
         .select(
             "champion_name", "item_name", "item_category", "player_purchase_rate", "win_rate", "avg_kda",
             "most_common_first_purchase_minute", "top_item_1", "top_item_2", "top_item_3",

@@ -118,7 +118,7 @@ def test_same_item_twice_counts_twice(spark):
     players = spark.createDataFrame([("m", 1, "BLUE", "X", "TOP")], PLAYERS)
     refs = items(spark, [(1, "A", "Basic"), (2, "B", "Epic")])
     facts = matches(spark, [("m", "BLUE", 400)])
-    counted = gold._champion_item_counts(rows, facts, players)
+    counted = gold.champion_item_counts(gold.player_states(rows, facts, players))
     assert counted.filter("hi IS NOT NULL").select("lo", "hi", "together").collect() == [(1, 2, 2)]
     got = as_dict(gold.item_recommendations(rows, facts, players, refs), "item_name")
     a, b = got[("A",)], got[("B",)]
