@@ -25,7 +25,7 @@ from arenalake.plans.queries_gold import PLAYER_STATS_CTE, player_stats
 from arenalake.plans.queries_relational import HASH_SQL
 from arenalake.sources import csv as csv_source
 from arenalake.sources import tables
-from arenalake.streaming.history import maintain_history, read_history, refine_history
+from arenalake.streaming.history import maintain_history, read_history, refine_history, versions
 from arenalake.streaming.ingest import append_available, ingest, refine
 from arenalake.workspace import new_dir, written
 
@@ -273,9 +273,9 @@ def _(spark, d):
     orders = spark.readStream.schema(table(spark, d, "orders").schema).option("maxFilesPerTrigger", 2).parquet(feed)
     maintain_history(
         orders, "o_custkey", "o_orderdate", ["o_orderpriority"],
-        f"{base}/log", f"{base}/versions", f"{base}/checkpoint", buckets=8,
+        f"{base}/log", f"{base}/versions", f"{base}/checkpoint",
     )
-    return _plain_history(spark.read.parquet(f"{base}/versions").drop("key_bucket"))
+    return _plain_history(versions(spark, f"{base}/versions", "o_custkey"))
 
 
 @query("st04_current_version_lookup", f"""

@@ -15,6 +15,8 @@ SCALE_CONF = {
     # casts per snapshot row) exceed that inside one fused method; below the limit Spark
     # splits them into small methods instead, about three times faster.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Frames that are both laid out by match join on seats as they lie.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
 }

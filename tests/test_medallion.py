@@ -8,9 +8,10 @@ import pytest
 
 from arenalake import schemas
 from arenalake.operators.joins import current
-from arenalake.plans.medallion import run_medallion, silver_table
+from arenalake.plans import gold
+from arenalake.plans.medallion import by_match, run_medallion, silver_table
 from arenalake.sources import csv as csv_source
-from arenalake.sources import tables
+from arenalake.sources import tables, versions
 from arenalake.streaming.history import read_history
 from arenalake.workspace import new_dir
 
@@ -154,3 +155,54 @@ def test_refresh_replaces(spark):
     for n in (5, 3):
         tables.refresh_table(spark.range(n).toDF("k"), root, "gold", "t", ["k"])
     assert tables.read_table(spark, root, "gold", "t").count() == 3
+
+
+def test_failed_refresh_leaves_the_old_version(spark):
+    root = new_dir(spark, "refresh")
+    tables.refresh_table(spark.range(5).toDF("k"), root, "gold", "t")
+    begun = tables.read_table(spark, root, "gold", "t")
+    # The last rows fail after others have been written.
+    broken = spark.range(0, 100, 1, 4).selectExpr("if(id = 99, raise_error('stop'), id) AS k")
+    with pytest.raises(Exception, match="stop"):
+        tables.refresh_table(broken, root, "gold", "t")
+    assert tables.read_table(spark, root, "gold", "t").count() == 5
+    tables.refresh_table(spark.range(7).toDF("k"), root, "gold", "t")
+    assert begun.count() == 5 and tables.read_table(spark, root, "gold", "t").count() == 7
+    for n in (1, 2):
+        tables.refresh_table(spark.range(n).toDF("k"), root, "gold", "t")
+    # Two versions stay on disk, beside what the failed write left.
+    folders = [f for f in os.listdir(f"{root}/gold/t") if f.startswith("part-")]
+    assert len(folders) == 3 and tables.read_table(spark, root, "gold", "t").count() == 2
+
+
+def test_two_writers_do_not_overwrite_each_other(spark):
+    path = f"{new_dir(spark, 'refresh')}/t"
+    first = versions.commit(spark, path, None, [versions.new_part(spark.range(1).toDF("k"), path)])
+    versions.commit(spark, path, first, [versions.new_part(spark.range(2).toDF("k"), path)])
+    with pytest.raises(RuntimeError, match="another writer"):
+        versions.commit(spark, path, first, [versions.new_part(spark.range(3).toDF("k"), path)])
+    assert versions.read_part(spark, path, versions.newest(spark, path).parts[-1]).count() == 2
+
+
+def test_gold_reads_telemetry_where_it_lies(spark, lake):
+    """Bucketed by match, intervals are read once and never exchanged, and joins keep the layout."""
+    _, root, _ = lake
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        matches, players, intervals = by_match(spark, root, 4)
+        items = current(silver_table(spark, root, "items_ref"))
+        plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+        for rows in (
+            gold.matchend_player_stats(intervals, matches, players, items, with_build=False),
+            gold.diff_intervals(intervals, players), gold.matchend_pivot_teamstats(intervals, matches),
+            gold.player_states(intervals, matches, players),
+        ):
+            assert "Exchange" not in plan(rows) and plan(rows).count("intervals_by_match") <= 1
+        first = plan(gold.first_purchases(intervals, players, items, seated=True))
+        # Only counts by champion and the reference table travel.
+        assert "hashpartitioning(match_id" not in first
+        stats = gold.matchend_player_stats(intervals, matches, players, items).drop("item_build")
+        plain = [silver_table(spark, root, t) for t in ("intervals", "matches", "players")]
+        assert stats.exceptAll(gold.matchend_player_stats(*plain, items).drop("item_build")).count() == 0 and stats.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from arenalake.operators.joins import current
 from arenalake.operators.scd2 import scd2
-from arenalake.streaming.history import maintain_history
+from arenalake.sources.versions import newest, read_part
+from arenalake.streaming import history
+from arenalake.streaming.history import add_changes, maintain_history
 from arenalake.workspace import new_dir
 
 
@@ -71,11 +73,11 @@ def test_random_feed_with_hot_key(spark, unit):
 
 
 def test_one_open_version_and_no_gaps(spark):
-    history = scd2(spark.createDataFrame(feed(seed=8), SCHEMA), "k", "seq", ["name"])
-    assert current(history).groupBy("k").count().filter("count != 1").count() == 0
-    assert history.filter("__END_AT <= __START_AT").count() == 0
-    ends = history.filter("__END_AT IS NOT NULL").select("k", F.col("__END_AT").alias("t"))
-    assert ends.exceptAll(history.select("k", F.col("__START_AT").alias("t"))).count() == 0
+    rows = scd2(spark.createDataFrame(feed(seed=8), SCHEMA), "k", "seq", ["name"])
+    assert current(rows).groupBy("k").count().filter("count != 1").count() == 0
+    assert rows.filter("__END_AT <= __START_AT").count() == 0
+    ends = rows.filter("__END_AT IS NOT NULL").select("k", F.col("__END_AT").alias("t"))
+    assert ends.exceptAll(rows.select("k", F.col("__START_AT").alias("t"))).count() == 0
 
 
 def test_stream_equals_batch_for_shuffled_deliveries(spark):
@@ -85,6 +87,45 @@ def test_stream_equals_batch_for_shuffled_deliveries(spark):
     for i, part in enumerate(parts):
         spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(SCHEMA).parquet(source)
-        maintain_history(stream, "k", "seq", ["name"], f"{base}/log", f"{base}/out", f"{base}/cp", buckets=4)
+        maintain_history(stream, "k", "seq", ["name"], f"{base}/log", f"{base}/out", f"{base}/cp")
         seen = [r for p in parts[: i + 1] for r in p]
-        assert versions(spark.read.parquet(f"{base}/out")) == plain(seen)
+        assert versions(history.versions(spark, f"{base}/out", "k")) == plain(seen)
+
+
+def test_small_batch_rewrites_its_keys_only(spark, monkeypatch):
+    """Late, repeated and replayed batches; parts are merged; a reader that began before a batch finishes as it began."""
+    base = new_dir(spark, "merge")
+    rng = random.Random(3)
+    rows = [(k, rng.choice("ABC"), day(rng.randrange(300))) for k in range(1000) for _ in range(4)]
+    load = lambda part, n: add_changes(spark, spark.createDataFrame(part, SCHEMA), n, "k", "seq", ["name"], f"{base}/log", f"{base}/out")
+    read = lambda: history.versions(spark, f"{base}/out", "k")
+    load(rows, 0)
+    total = read().count()
+    before = read()
+    batch = [(k, "D", day(rng.randrange(300))) for k in range(500, 510)]
+    load(batch, 1)
+    manifest = newest(spark, f"{base}/out")
+    written = read_part(spark, f"{base}/out", manifest.parts[-1])
+    assert len(manifest.parts) == 2 and written.select("k").distinct().count() == 10 and written.count() <= 0.02 * total
+    assert versions(before) == plain(rows)
+    rows += batch
+    assert versions(read()) == plain(rows)
+    load(batch, 1)
+    assert newest(spark, f"{base}/out") == manifest
+    # A batch that fails after its log is written, and merged, is finished by its replay.
+    load(rows[:1], 2)
+    batch = [(7, "E", day(10)), (2000, "E", day(11))]
+    with monkeypatch.context() as patch:
+        patch.setattr(history, "scd2", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(batch, 3)
+    assert len(newest(spark, f"{base}/log").parts) == 1 and versions(read()) == plain(rows)
+    load(batch, 3)
+    rows += batch
+    assert versions(read()) == plain(rows)
+    for n in range(4, 8):
+        batch = [(rng.randrange(1000), rng.choice("ABCD"), day(rng.randrange(-50, 400))) for _ in range(5)] + rows[:1]
+        load(batch, n)
+        rows += batch
+    assert versions(read()) == plain(rows)
+    assert len(newest(spark, f"{base}/out").parts) <= 4 and len(newest(spark, f"{base}/log").parts) <= 4
