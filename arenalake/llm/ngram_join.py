@@ -38,9 +38,11 @@ from arenalake.llm.graph import components
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
 
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long"
-_KEYS = "doc_id long, kind int, key long"
-# Kinds of keys: fixed-size subsets seen from the smaller size and from the larger one, inverted lists.
+_KEYS = "shard int, keys array<long>, ids array<long>"
+# Kinds of keys: fixed-size subsets seen from the smaller size and from the larger one, inverted lists. The kind takes
+# the place of a key's last two bits.
 SMALLER, LARGER, PART = 0, 1, 2
+_KIND = 3
 # Subsets are enumerated for sets up to the size where one set would need more than this many.
 _MOST_SUBSETS = 64
 _SKETCH = 8  # longs of the parity sketch
@@ -150,13 +152,16 @@ def _set_rows(k: int):
     return rows
 
 
-def _key_rows(sim: Similarity, limit: int):
-    """Subset keys of light sets; list keys of all that are or may link with heavy ones."""
+def _key_rows(sim: Similarity, limit: int, shards: int):
+    """Subset keys of light sets; list keys of all that are or may link with heavy ones.
+
+    A row holds the keys of one batch and key range side by side, so a key and its document take 16 bytes.
+    """
 
     def rows(batches):
         hashes = WordHashes()
         for batch in batches:
-            ids, kinds, keys = [], [], []
+            ids, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
             for doc_id, text in zip(column(batch, "doc_id").to_pylist(), texts(batch)):
                 s = shingles(hashes.of(lower_words(text)), sim.k)
                 n = len(s)
@@ -170,11 +175,18 @@ def _key_rows(sim: Similarity, limit: int):
                 if n * sim.den > limit * sim.num:
                     found.append((PART, _heavy_keys(s, sim)[0]))
                 for kind, key in found:
-                    keys.append(signed(key))
-                    kinds.append(np.full(len(key), kind, np.int32))
+                    keys.append((key & ~np.uint64(_KIND)) | np.uint64(kind))
                     ids.append(np.full(len(key), doc_id, np.int64))
-            flat = [np.concatenate(x) if x else np.empty(0, t) for x, t in ((ids, np.int64), (kinds, np.int32), (keys, np.int64))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in flat], names=["doc_id", "kind", "key"])
+            key, doc = np.concatenate(keys), np.concatenate(ids)
+            shard = ((key >> np.uint64(33)) * np.uint64(shards) >> np.uint64(31)).astype(np.int32)
+            order = np.argsort(shard, kind="stable")
+            key, doc, shard = signed(key)[order], doc[order], shard[order]
+            start = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1]))) if len(shard) else np.empty(0, np.int64)
+            edge = pa.array(np.concatenate((start, [len(shard)])), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard[start], pa.int32()), pa.ListArray.from_arrays(edge, pa.array(key)), pa.ListArray.from_arrays(edge, pa.array(doc))],
+                names=["shard", "keys", "ids"],
+            )
 
     return rows
 
@@ -260,8 +272,13 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
 
     # Lists with two or more members. Light lists are led by a set of the smaller size, which links with
     # every member; the leader of a heavy list is drawn per list, so no set leads them all.
-    keys = own.select("doc_id", "text").mapInArrow(_key_rows(sim, limit), _KEYS)
-    drawn = Window.partitionBy("key").orderBy("kind", F.xxhash64("key", "doc_id"), "doc_id")
+    # Keys travel by range and are laid out where they arrive; the ranked window needs no other exchange.
+    shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = own.select("doc_id", "text").mapInArrow(_key_rows(sim, limit, shards), _KEYS).repartition("shard")
+    keys = packed.select("shard", F.inline(F.arrays_zip("keys", "ids"))).select(
+        "shard", F.shiftright("keys", 2).alias("key"), F.col("keys").bitwiseAND(_KIND).cast("int").alias("kind"), F.col("ids").alias("doc_id")
+    )
+    drawn = Window.partitionBy("shard", "key").orderBy("kind", F.xxhash64("key", "doc_id"), "doc_id")
     led = (
         keys.withColumn("leader", F.first(F.struct("doc_id", "kind")).over(drawn))
         .withColumn("next", F.lead("doc_id").over(drawn))
