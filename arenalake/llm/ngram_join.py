@@ -23,6 +23,7 @@ doc_id are one document; a NULL doc_id stays outside the classes of other texts.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 from itertools import combinations
@@ -33,9 +34,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import docs_of, release, semi, written
+from arenalake.llm.common import docs_of, new_dir, release, semi, written
 from arenalake.llm.graph import components
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
+from arenalake.sources.tables import save_bucketed
 
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long"
 _KEYS = "shard int, keys array<long>, ids array<long>"
@@ -296,7 +298,10 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     listed = semi(docs, heavy)
     if full.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         listed = listed.dropDuplicates(["doc_id"])
-    items = written(listed.mapInArrow(_element_rows(sim), _ELEMENTS), "items")
+    # Elements are dealt to buckets by document once; the checks below join them where they lie.
+    name = f"items_{uuid.uuid4().hex}"
+    elements = listed.mapInArrow(_element_rows(sim), _ELEMENTS)
+    items = save_bucketed(elements, name, ["doc_id"], int(spark.conf.get("spark.sql.shuffle.partitions")), path=new_dir(spark, "items"))
     release(spark)
     sketch = [f"s{i}" for i in range(_SKETCH)]
     facts = lambda suffix: items.select(*[F.col(c).alias(f"{c}{suffix}") for c in ("doc_id", "size", "least", *sketch)])
@@ -343,6 +348,7 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         .filter(F.col("equal") >= F.greatest("la", "lb"))
     )
     classes = written(components(links.union(_verified(second, items, sim))), "classes")
+    spark.sql(f"DROP TABLE {name}")
 
     # Written, so that the join by fingerprint has two plain sides and a group of copies can be split.
     found = written(
