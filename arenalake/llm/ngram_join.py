@@ -38,6 +38,7 @@ from arenalake.llm.common import docs_of, new_dir, release, semi, written
 from arenalake.llm.graph import components
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
 from arenalake.sources.tables import save_bucketed
+from arenalake.workspace import dropping_shuffles
 
 _SETS = "doc_id long, n_shingles long, f1 long, f2 long"
 _KEYS = "shard int, keys array<long>, ids array<long>"
@@ -301,7 +302,8 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     # Elements are dealt to buckets by document once; the checks below join them where they lie.
     name = f"items_{uuid.uuid4().hex}"
     elements = listed.mapInArrow(_element_rows(sim), _ELEMENTS)
-    items = save_bucketed(elements, name, ["doc_id"], int(spark.conf.get("spark.sql.shuffle.partitions")), path=new_dir(spark, "items"))
+    with dropping_shuffles(spark):
+        items = save_bucketed(elements, name, ["doc_id"], int(spark.conf.get("spark.sql.shuffle.partitions")), path=new_dir(spark, "items"))
     release(spark)
     sketch = [f"s{i}" for i in range(_SKETCH)]
     facts = lambda suffix: items.select(*[F.col(c).alias(f"{c}{suffix}") for c in ("doc_id", "size", "least", *sketch)])
