@@ -4,13 +4,16 @@ The kernel of two words sums lambda^(spans) over the character subsequences of l
 share, gaps included, so `i-d-i-o-t`, `idxiot` and unseen forms of a known stem stay close to it. Spans
 are limited to 7 characters. A Nystroem map over landmark words makes the machine linear; because the
 kernel is an inner product of subsequence weights, landmarks and coefficients fold into one table of
-32^4 + 32^3 numbers, and a word is scored by looking its own subsequences up.
+48^4 + 48^3 numbers, and a word is scored by looking its own subsequences up. A word's edges are
+characters too.
 
 Labels are those of whole documents, so words are labelled in turns (multiple-instance training): words
-of toxic documents that no clean labelled document holds start as positive, the machine is fitted, and
-those it does not tell from clean words are taken out. A text's value is its highest word's; runs of
-single letters (`i d i o t`) count as one more word. A logistic curve fitted on training texts makes a
-score of it.
+RATIO times commoner in toxic than in clean documents start as positive, the machine is fitted, and those
+it does not tell from clean words are taken out. Texts that show a word between the same two words count once,
+so that a group of copies does not make insults of its words. A text's value is the sum of what its
+words' values exceed FLOOR by (each at most FULL) in its worst window of WINDOW words, or its highest word's if
+none does; runs of single letters (`i d i o t`) count as one more word. A logistic curve whose cut costs
+least on the sampled training texts makes a score of it.
 
 The fit uses bounded samples of the labelled rows: DOCS documents per class and WORDS words per class.
 
@@ -22,6 +25,7 @@ one by one; words are never cut however long.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -38,12 +42,21 @@ LAMBDA = 0.75
 SPAN = 7
 DOCS = 6000
 WORDS = 20_000
+COMMON = 5000  # of the clean ones: the commonest
 LANDMARKS = 256
 FORMED = 1000  # words whose forms with an inserted letter are learnt too
 _INSERTED = "xzqkwjvy"
-TABLE = 32**4 + 32**3
+SIGNS = 48  # codes of characters
+_EDGE = 27  # code of a word's begin and end
+TABLE = SIGNS**4 + SIGNS**3
 # Offsets of a subsequence's later characters, with the base of its table.
-_PATTERNS = [(p, 0 if len(p) == 3 else 32**4) for n in (3, 2) for p in combinations(range(1, SPAN), n)]
+_PATTERNS = [(p, 0 if len(p) == 3 else SIGNS**4) for n in (3, 2) for p in combinations(range(1, SPAN), n)]
+STEEP = 0.5  # value that raises the odds e-fold
+CAUTION = 5  # what a clean text marked weighs against a toxic one missed
+FLOOR = 0.3  # word values up to here add nothing
+FULL = 1.0  # most that one word adds
+WINDOW = 64  # words whose evidence is added up
+RATIO = 10  # how much commoner an insult is in toxic texts than in clean ones
 # Signs that stand for letters inside a word.
 _LOOKALIKE = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "|": "l"}
 _MARKS = " .,;:!?\"'()[]{}<>*#$%&|/\\-_=+~^@`"
@@ -59,16 +72,19 @@ def letters_of(chunk: bytes) -> str:
 
 
 def _codes(text: str) -> np.ndarray:
-    """1..26 for a-z, 27..31 for everything else by code point, 0 between words."""
+    """1..26 for a-z, 27 for edges (\\x02), 28..47 for everything else by code point, 0 between words."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     latin = (points >= 97) & (points <= 122)
-    return np.where(latin, points - 96, np.where(points == 32, 0, 27 + points % 5))
+    other = np.where(points == 2, _EDGE, 28 + points % (SIGNS - 28))
+    return np.where(latin, points - 96, np.where(points == 32, 0, other))
 
 
 def _subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(word, table place, weight) of every subsequence, pattern by pattern."""
-    codes = _codes("".join([f"{w} " for w in words]))
-    owner = np.repeat(np.arange(len(words)), np.fromiter((len(w) + 1 for w in words), np.int64, len(words)))
+    # Edges are characters too, so that a stem at a word's begin differs from one inside; shorter words have none.
+    words = [f"\x02{w}\x02 " if len(w) > 2 else f"{w} " for w in words]
+    codes = _codes("".join(words))
+    owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
     for offsets, base in _PATTERNS:
         n = len(codes) - offsets[-1]
         if n <= 0:
@@ -76,7 +92,7 @@ def _subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, fl
         at = np.flatnonzero((owner[:n] == owner[offsets[-1]:]) & (codes[offsets[-1]:] > 0))
         place = codes[at]
         for o in offsets:
-            place = place * 32 + codes[at + o]
+            place = place * SIGNS + codes[at + o]
         yield owner[at], place + base, LAMBDA ** (offsets[-1] + 1)
 
 
@@ -124,12 +140,14 @@ def _fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float) -> np
     return u
 
 
-def train_words(positive: list[str], counts: list[int], negative: list[str]) -> Machine:
-    """Fit the machine on words of toxic texts (with the number of texts) and words of clean ones."""
+def train_words(positive: list[str], counts: list[int], negative: list[str], seen: list[int]) -> Machine:
+    """Fit the machine on words of toxic texts and words of clean ones, each with its number of such texts."""
     order = sorted(range(len(positive)), key=lambda i: (-counts[i], positive[i]))
     half = LANDMARKS // 2
-    # Landmarks: the words most toxic texts share, and evenly drawn clean ones.
-    marks = [positive[i] for i in order[:half]] + sorted(negative)[:: max(1, len(negative) // half)][:half]
+    # Landmarks: the words most toxic texts share, the words most clean texts share, and evenly drawn clean ones.
+    common = sorted(range(len(negative)), key=lambda i: (-seen[i], negative[i]))[:half // 2]
+    drawn = sorted(set(negative) - {negative[i] for i in common})
+    marks = [positive[i] for i in order[:half]] + [negative[i] for i in common] + drawn[:: max(1, len(drawn) // (half // 2))][:half // 2]
     word, place, weight = _features(marks)
     known, at = np.unique(place, return_inverse=True)  # only these places of the table are ever used
     phi = np.zeros((len(marks), len(known)), np.float32)
@@ -155,11 +173,13 @@ def train_words(positive: list[str], counts: list[int], negative: list[str]) ->
 
     xp, xn = mapped(positive), mapped(negative)
     strength = np.array(counts, float)
+    usual = 1 + np.log2(np.array(seen, float))
+    usual /= usual.sum()
     live = np.ones(len(positive), bool)
     for _ in range(4):
         x = np.concatenate([xp[live], xn])
         y = np.concatenate([np.ones(live.sum()), -np.ones(len(xn))])
-        weight = np.concatenate([strength[live] / strength[live].sum(), np.full(len(xn), 1 / len(xn))]) * len(x)
+        weight = np.concatenate([strength[live] / strength[live].sum(), usual]) * len(x)
         u = _fit(x, y, weight, penalty=1.0)
         clean = np.quantile(xn @ u, 0.999)
         told = xp @ u > max(clean, -0.5)
@@ -177,7 +197,7 @@ def train_words(positive: list[str], counts: list[int], negative: list[str]) ->
         x = np.concatenate([xp[live], mapped(forms), xn])
         y = np.concatenate([np.ones(live.sum() + len(forms)), -np.ones(len(xn))])
         weight = np.concatenate([strength[live], origin])
-        weight = np.concatenate([weight / weight.sum(), np.full(len(xn), 1 / len(xn))]) * len(x)
+        weight = np.concatenate([weight / weight.sum(), usual]) * len(x)
         u = _fit(x, y, weight, penalty=1.0)
     table = np.zeros(TABLE, np.float32)
     table[known] = basis @ u[:-1]
@@ -207,21 +227,28 @@ class Scorer:
         self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, words), np.int64, len(words))])
 
     def texts(self, todo: list[list[bytes]]) -> list[tuple[float, int]]:
-        """(highest value, word it was found at) of each text."""
+        """(value, place of the highest word) of each text."""
         self._learn(set().union(*todo))
         out = []
         for words in todo:
             at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
             values = self.values[at]
-            best, where = (float(values.max()), int(values.argmax())) if len(at) else (self.bias, -1)
             for first, joined in _spelled(words, self.sizes[at]):
-                value = float(word_values(self.table, [joined])[0] + self.bias)
-                if value > best:
-                    best, where = value, first
-            out.append((max(best, self.bias), where))
+                values[first] = max(values[first], float(word_values(self.table, [joined])[0] + self.bias))
+            out.append((evidence(values, self.bias), int(values.argmax()) if len(at) else -1))
         return out
 
 
+def evidence(values: np.ndarray, bias: float) -> float:
+    """A text's value from its words': the sum of what lies over FLOOR in the worst window, else the highest."""
+    over = values - FLOOR
+    best = float(over.max(initial=bias - FLOOR))
+    if best <= 0:
+        return best
+    total = np.concatenate([[0.0], np.cumsum(np.clip(over, 0, FULL))])
+    return float((total[WINDOW:] - total[:-WINDOW]).max()) if len(values) > WINDOW else float(total[-1])
+
+
 def _spelled(words: list[bytes], sizes: np.ndarray) -> Iterator[tuple[int, str]]:
     """Runs of three or more single letters as one word, with the place of the first."""
     single = np.concatenate([[False], sizes == 1, [False]])
@@ -251,14 +278,23 @@ def _values(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every word of a text once, with a hash of the words before and behind its first place."""
     for batch in batches:
-        words, labels = [], []
+        words, labels, places = [], [], []
         for label, text in zip(column(batch, "label").to_pylist(), texts(batch)):
-            mine = {letters_of(c) for c in set((text or b"").lower().split())}
-            mine = [w for w in mine if len(w) > 2]
-            words += mine
-            labels += [label] * len(mine)
-        yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], names=["word", "label"])
+            chunks = [b"", *(text or b"").lower().split(), b""]
+            mine: dict[bytes, int] = {}
+            for n in range(len(chunks) - 2, 0, -1):
+                mine[chunks[n]] = n
+            for chunk, n in mine.items():
+                word = letters_of(chunk)
+                if len(word) > 2:
+                    words.append(word), labels.append(label)
+                    places.append(zlib.crc32(chunks[n - 1] + b" " + chunks[n + 1]))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(words, pa.string()), pa.array(labels, pa.int32()), pa.array(places, pa.int64())],
+            names=["word", "label", "place"],
+        )
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
@@ -274,42 +310,48 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine | None:
     sample = written(
         docs_of(docs).join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "text", "label"), "sample"
     )
-    counted = sample.mapInArrow(_word_rows, "word string, label int").groupBy("word").agg(
-        F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
+    counted = written(
+        sample.mapInArrow(_word_rows, "word string, label int, place long").distinct().groupBy("word").agg(
+            F.sum(F.col("label")).alias("toxic"), F.sum(1 - F.col("label")).alias("clean")
+        ),
+        "words",
     )
+    # A word's share of toxic texts against its share of clean ones, so that single wrong labels change little.
+    classes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(classes) < 2:
+        return None
+    lopsided = F.col("toxic") * float(classes[0]) > RATIO * (F.col("clean") + 2) * float(classes[1])
     order = F.xxhash64("word")
-    bad = counted.filter("clean = 0").orderBy(F.desc("toxic"), order).limit(WORDS).select("word", "toxic").toArrow()
-    good = counted.filter("clean > 0").orderBy(order).limit(WORDS).select("word").toArrow()
+    bad = counted.filter(lopsided).orderBy(F.desc(F.col("toxic") - F.col("clean")), order).limit(WORDS).select("word", "toxic").toArrow()
+    # The commonest clean words, and others by hash.
+    calm = counted.filter(~lopsided & (F.col("clean") > 0)).select("word", "clean")
+    common = calm.orderBy(F.desc("clean"), order).limit(COMMON)
+    others = calm.join(F.broadcast(common.select(F.col("word").alias("of"))), F.col("word") == F.col("of"), "left_anti")
+    good = common.union(others.orderBy(order).limit(WORDS - COMMON)).toArrow()
     if not bad.num_rows or not good.num_rows:
         return None
-    machine = train_words(bad["word"].to_pylist(), bad["toxic"].to_pylist(), good["word"].to_pylist())
+    machine = train_words(bad["word"].to_pylist(), bad["toxic"].to_pylist(), good["word"].to_pylist(), good["clean"].to_pylist())
     drawn = _values(sample, machine).join(chosen, F.col("doc_id") == F.col("id")).select("value", "label").toArrow()
-    machine.slope, machine.offset = _logistic(drawn["value"].to_numpy(), drawn["label"].to_numpy())
+    machine.slope, machine.offset = _curve(drawn["value"].to_numpy(), drawn["label"].to_numpy())
     return machine
 
 
-def _logistic(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the curve from values to scores.
+def _curve(value: np.ndarray, label: np.ndarray) -> tuple[float, float]:
+    """Slope and offset of the logistic curve from values to scores.
 
-    Where the classes are apart, the curve passes 0.5 two fifths of the way from the clean texts' upper end
-    to the toxic ones' lower end, which leaves room for altered forms; else it is a balanced logistic fit.
+    It passes 0.7 at the cut that costs least on the sample: the share of toxic texts below it, and CAUTION
+    times the share of clean ones above it. Between two values of the sample the cut lies in the middle.
     """
-    upper, lower = np.quantile(value[label == 0], 0.997), np.quantile(value[label == 1], 0.05)
-    if lower > upper:
-        slope = 3.5 / (0.6 * (lower - upper))
-        return float(slope), float(-slope * (upper + 0.4 * (lower - upper)))
-    positive = max(1, int(label.sum()))
-    target = np.where(label == 1, (positive + 1) / (positive + 2), 1 / (len(label) - positive + 2))
-    weight = np.where(label == 1, 0.5 / positive, 0.5 / max(1, len(label) - positive)) * len(label)
-    x = np.stack([value, np.ones(len(value))], 1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - target)) + np.array([1e-3, 0]) * w
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step * min(1.0, 3.0 / (np.abs(step).max() + 1e-12))
-    return float(w[0]), float(w[1])
+    order = np.argsort(value, kind="stable")
+    value, label = value[order], label[order]
+    missed = np.cumsum(label == 1) / max(1, (label == 1).sum())  # with the cut above this value
+    marked = 1 - np.cumsum(label == 0) / max(1, (label == 0).sum())
+    ends = np.append(value[1:] > value[:-1], True)
+    cost = np.where(ends, missed + CAUTION * marked, np.inf)
+    at = int(cost.argmin())
+    cut = value[at] + STEEP if at + 1 == len(value) else (value[at] + value[at + 1]) / 2
+    slope = 1 / STEEP
+    return float(slope), float(np.log(0.7 / 0.3) - slope * cut)
 
 
 def score(docs: DataFrame, machine: Machine | None) -> DataFrame:

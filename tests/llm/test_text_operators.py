@@ -164,20 +164,59 @@ def test_viterbi_is_best_path():
         assert np.isclose(value(labels[a:a + n], s) if n else 0, best)
 
 
-@pytest.fixture(scope="module")
-def toxic(spark):
-    d = "/root/testdata/sf0.01"
+def _learnt(spark, d):
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
     machine = toxicity.train(docs.filter(crc_mod(3) != 1), labels.filter(crc_mod(3) != 1))
     return docs, labels, machine
 
 
-def test_toxicity_held_out(toxic):
-    docs, labels, machine = toxic
+@pytest.fixture(scope="module")
+def toxic(spark):
+    return _learnt(spark, "/root/testdata/sf0.01")
+
+
+@pytest.mark.parametrize("size, least", [("0.01", 0.75), ("0.1", 0.9)])  # 33 and 305 toxic texts to learn from
+def test_toxicity_held_out(spark, size, least):
+    docs, labels, machine = _learnt(spark, f"/root/testdata/sf{size}")
     rows = toxicity.score(docs.filter(crc_mod(3) == 1), machine).join(labels, "doc_id").collect()
     hit = [r.score >= 0.7 for r in rows if r.toxic]
     false = [r.score >= 0.7 for r in rows if not r.toxic]
-    assert sum(hit) >= 0.75 * len(hit) and sum(false) <= 0.12 * len(false)
+    assert sum(hit) >= least * len(hit) and sum(false) <= 0.02 * len(false)
+
+
+def test_toxicity_noise_copies_and_alphabets(spark, prose):
+    """Wrong labels, a group of copies of a toxic text and an insult in other letters."""
+    insults = ["blokwart", "zupfkrug", "\u0434\u0443\u0440\u0430\u043a"]
+
+    def text(seed, bad):
+        ws = prose(seed, 90).split()
+        for n in range(3 if bad else 0):
+            ws[7 + 25 * n] = insults[(seed + n) % 3]
+        return " ".join(ws)
+
+    rows = [(i, text(1000 + i, i % 5 == 0), int(i % 5 == 0)) for i in range(600)]
+    rows += [(i, text(9000, True), 1) for i in range(600, 680)]  # 80 copies
+    wrong = [(i, t, 1 - y if i % 60 == 7 else y) for i, t, y in rows]  # ten clean texts marked as toxic
+    wrong[11] = (11, rows[11][1] + " blokwart", 0)  # a clean text that quotes one
+    docs = spark.createDataFrame(wrong, "doc_id long, text string, toxic int")
+    machine = toxicity.train(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    new = [(i, text(50_000 + i, i % 2 == 0)) for i in range(100)]
+    # Clean words of the copied text, and a text of nothing but one alphabet's insults.
+    new += [(100, " ".join(w for w in text(9000, True).split() if w not in insults)), (102, f"{insults[2]} " * 3)]
+    got = {r.doc_id: r.score >= 0.7 for r in toxicity.score(spark.createDataFrame(new, "doc_id long, text string"), machine).collect()}
+    assert all(got[i] for i in range(0, 100, 2)) and got[102]
+    assert not any(got[i] for i in range(1, 100, 2)) and not got[100]
+
+
+def test_toxicity_evidence():
+    full = toxicity.FLOOR + toxicity.FULL
+    near = np.full(toxicity.WINDOW, -1.0)
+    near[[3, 9]] = full + 5
+    assert toxicity.evidence(near, -1.0) == 2 * toxicity.FULL
+    far = np.full(4 * toxicity.WINDOW, -1.0)
+    far[[0, -1]] = full
+    assert np.isclose(toxicity.evidence(far, -1.0), toxicity.FULL)
+    assert toxicity.evidence(np.empty(0), -1.0) == -1.0 - toxicity.FLOOR == toxicity.evidence(np.array([-1.0]), -1.0)
 
 
 def test_toxicity_forms(spark, toxic, edge_docs):
@@ -194,6 +233,7 @@ def test_kernel_is_inner_product():
 
     def phi(word):
         out, size = {}, 0.0
+        word = f"|{word}|"  # edges are characters
         for n in (3, 4):
             for c in combinations(range(len(word)), n):
                 if c[-1] - c[0] < toxicity.SPAN:
