@@ -41,6 +41,7 @@ _BIN_SCHEMA = pa.schema(
      ("members", pa.list_(_MEMBER))]
 )
 GROUP = 10_000  # pieces a first-level task packs
+BLOCK = 1_000  # equal pieces that are dealt together
 FAN_IN = 16  # groups whose leftovers meet
 CARRY = 64  # least filled sequences a group hands on
 
@@ -187,16 +188,26 @@ def _packer(level: int, limit: int, last: bool):
     return pack
 
 
-def pack(docs: DataFrame, limit: int = 4096, end: int = 1, path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = written(pieces(docs, limit, end, path), "pieces")
-    groups = max(1, -(-cut.count() // GROUP))
+def _dealt(cut: DataFrame, groups: int) -> DataFrame:
+    """Items of the first level. Equal pieces are dealt in blocks, so that no group grows with their number."""
+    numbered = cut.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) DIV {BLOCK}"))))
+    few, many = numbered.filter(f"n <= {BLOCK}"), numbered.filter(f"n > {BLOCK}")
+    spread = few.union(many.repartition("doc_id", "piece", "ids_crc32", "block"))
+    rows = spread.select("*", F.explode(F.sequence(F.lit(1), F.expr(f"least({BLOCK}, n - block * {BLOCK})"))))
     member = F.struct("doc_id", "piece", "start", "length", "ids_crc32", F.lit(0).cast("long").alias("offset"))
-    waiting = cut.select(
-        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)).alias("part"),
+    return rows.select(
+        F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "block"), F.lit(groups)).alias("part"),
         F.col("length").alias("filled"),
         F.array(member).alias("members"),
     )
+
+
+def pack(docs: DataFrame, limit: int = 4096, end: int = 1, path: str | None = None) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    found = pieces(docs, limit, end, path).groupBy("doc_id", "piece", "start", "length", "ids_crc32")
+    cut = written(found.agg(F.count(F.lit(1)).alias("n")), "pieces")
+    groups = max(1, -(-(cut.agg(F.sum("n")).first()[0] or 0) // GROUP))
+    waiting = _dealt(cut, groups)
     level, done = 1, None
     while True:
         packed = written(waiting.groupBy("part").applyInArrow(_packer(level, limit, groups == 1), _BINS), "bins")

@@ -126,6 +126,20 @@ def test_packing_levels(spark, words, monkeypatch):
     assert _check_bins(rows) <= -(-sum(r.length for r in rows) // 4096) * 1.1 + 1
 
 
+def test_packing_repeated_rows(spark, monkeypatch):
+    """A third of all rows alike are dealt over many groups and placed one by one."""
+    monkeypatch.setattr(packing, "GROUP", 40)
+    monkeypatch.setattr(packing, "BLOCK", 5)
+    docs = [(7, "the same text"), *[(i, f"text {i}") for i in range(20, 22)]] * 200
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = packing.pack(frame).collect()
+    _check_bins(rows)
+    assert len(rows) == 600 and sum(r.doc_id == 7 for r in rows) == 200
+    cut = packing.pieces(frame).groupBy("doc_id", "piece", "start", "length", "ids_crc32").agg(F.count("*").alias("n"))
+    parts = [r["count"] for r in packing._dealt(cut, 15).groupBy("part").count().collect()]
+    assert sum(parts) == 600 and max(parts) <= 100
+
+
 def test_best_fit():
     bins = packing.best_fit([6, 5, 4, 3, 2], 10)
     assert sorted(map(sorted, bins)) == [[0, 2], [1, 3, 4]]
