@@ -132,15 +132,17 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     """Count n-grams of rows (doc_id, text, lang) and turn them into log probabilities."""
     small_batches(labelled.sparkSession)
     rows = labelled.filter("lang IS NOT NULL").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = rows.groupBy("lang").count().withColumnRenamed("lang", "of")
-    share = F.col("count") * (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6) < per_language
-    sample = rows.join(sizes, F.col("lang") == F.col("of")).filter(share).select("lang", "text")
+    sizes = rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    # Rows are drawn where they are read: no text is shuffled.
+    size = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], r["count"])])[F.col("lang")] if sizes else F.lit(0)
+    share = size * (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1e6) < per_language
+    sample = rows.filter(share).select("lang", "text")
     counts = (
         sample.mapInArrow(_count_rows, _COUNTS).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     )
     langs = sorted(counts["lang"].unique())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the model is built for {MOST_LANGUAGES} at most")
     table = np.zeros((BUCKETS + N_SCRIPTS, len(langs)))
     table[counts["bucket"].to_numpy(int), np.searchsorted(langs, counts["lang"].to_numpy(str))] = counts["n"]
     grams, script = table[:BUCKETS], table[BUCKETS:]

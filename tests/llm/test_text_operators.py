@@ -141,6 +141,22 @@ def test_language_spans(spark, sf_dir):
     assert got[4].lang_pred == "fr" and 0 <= got[4].score <= 1
 
 
+def test_language_training_moves_no_text(spark, sf_dir, monkeypatch, no_docs):
+    """Counts alone are shuffled: the sampled rows reach the counting tasks straight from the scan."""
+    plans = []
+    frame = type(no_docs)
+    inner = frame.mapInArrow
+
+    def seen(self, *args, **kwargs):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return inner(self, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    model = language.train(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    assert model.langs and plans and "Exchange" not in plans[0]
+    assert language.train(no_docs).langs == []
+
+
 def test_language_scripts_narrow():
     """A word in a script only one language was seen in goes to it, whatever the grams say."""
     known = np.zeros((2, language.N_SCRIPTS), bool)
