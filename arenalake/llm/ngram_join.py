@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from itertools import combinations
 from math import comb
 
@@ -237,13 +237,24 @@ def boundary(reps: DataFrame, sim: Similarity) -> int:
     return min(range(1, sim.light_limit + 1), key=lambda limit: (cost(limit), -limit))
 
 
+_ROUNDS = 4  # blocks of pairs checked one after the other
+
+
 def _verified(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
-    """Pairs (a, b) whose sets are similar enough, by exact intersection."""
+    """Pairs (a, b) whose sets are similar enough, by exact intersection.
+
+    The set of `a` travels to that of `b` for every pair, which is several times the texts where groups are
+    large. Pairs are dealt into blocks by hash; a block's sets leave the disk before the next one travels.
+    """
     side = lambda end: items.select(F.col("doc_id").alias(end), F.col("items").alias(f"items_{end}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
     common = F.size(F.array_intersect("items_a", "items_b"))
     total = F.size("items_a") + F.size("items_b")
-    return both.filter((sim.num + sim.den) * common >= sim.num * total).select("a", "b")
+    asked, similar = written(pairs.select("a", "b"), "asked"), []
+    for n in range(_ROUNDS):
+        block = asked.filter(F.pmod(F.xxhash64("a", "b"), F.lit(_ROUNDS)) == n)
+        both = block.join(side("a"), "a").join(side("b"), "b")
+        similar.append(written(both.filter((sim.num + sim.den) * common >= sim.num * total).select("a", "b"), "similar"))
+    return reduce(DataFrame.union, similar)
 
 
 def _fits(sim: Similarity, a: str, b: str):
