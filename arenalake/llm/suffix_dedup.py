@@ -12,6 +12,10 @@ what can matter and dealt into buckets that never split equal strings:
    suffixes are ranked by prefix doubling. In suffix order, suffixes with a common prefix of LENGTH bytes
    form a run; a suffix has an earlier match (longest previous factor >= LENGTH) exactly if it is not the
    run's least position, so runs stand in for the factors, which are not computed.
+4. A core with more than HOT distinct stretches (a passage in very many documents, each with its own
+   surroundings) is never gathered. Its stretches are dealt again as fine ones of FINE positions, which
+   share wider cores: most are equal as a whole or alone. Strings of the others are counted one by one,
+   keeping the least and the greatest position per string, which map tasks combine.
 
 `keep="none"` removes every occurrence, `keep="first"` only those with an earlier match; earlier is by
 doc_id, then place.
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,8 @@ GRAM = 64
 STRETCH = 64
 SEGMENT = 1 << 20  # starts handled at once
 BUCKET = 4000  # members ranked together
+FINE = 8  # positions of a fine stretch
+HOT = 1000  # distinct stretches of a core that are still ranked in one task
 NO_ID = -(1 << 63)
 
 _WINDOW = LENGTH - GRAM + 1
@@ -154,7 +161,7 @@ def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             many = last - first + 1
             nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first, many)
             start = np.unique(np.repeat(at, many) - (nth + 1) * STRETCH + 1)
-            core, span = _hashes(prefixes, text, start)
+            core, span = _hashes(prefixes, text, start, STRETCH)
             for values, new in zip(out, ([k] * len(start), [h] * len(start), start, core, span)):
                 values.append(np.asarray(new, np.int64))
         arrays = [np.concatenate(x) if x else np.empty(0, np.int64) for x in out]
@@ -164,28 +171,71 @@ def _stretch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def _hashes(prefixes: Prefixes, text: bytes, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the cores and of the whole stretches that begin at `start` (possibly before the text).
-
-    Long texts are read in segments, so memory does not grow with the text.
-    """
-    core, span = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
-    reach = STRETCH - 1 + LENGTH
+def _segments(start: np.ndarray) -> Iterator[tuple[slice, int]]:
+    """Slices of the sorted `start` and where their bytes begin, so that memory does not grow with the text."""
     begin = 0
     while begin < len(start):
         base = max(0, int(start[begin]))
         end = int(np.searchsorted(start, base + SEGMENT))
+        yield slice(begin, end), base
+        begin = end
+
+
+def _hashes(prefixes: Prefixes, text: bytes, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the cores and of the whole stretches that begin at `start` (possibly before the text)."""
+    core, span = np.empty(len(start), np.int64), np.empty(len(start), np.int64)
+    reach = width - 1 + LENGTH
+    for these, base in _segments(start):
         prefixes.load(np.frombuffer(text[base:base + SEGMENT + reach], np.uint8))
-        mine = start[begin:end]
+        mine = start[these]
         left, right = np.maximum(mine, 0), np.minimum(mine + reach, len(text))
-        core[begin:end] = prefixes.at(mine + STRETCH - 1 - base, mine + LENGTH - base).view(np.int64)
+        core[these] = prefixes.at(mine + width - 1 - base, mine + LENGTH - base).view(np.int64)
         clip = ((left - mine) << 32) | (mine + reach - right)
         whole = prefixes.at(left - base, right - base) + mix(clip.astype(np.uint64) + np.uint64(1))
-        span[begin:end] = mix(whole).view(np.int64)
-        begin = end
+        span[these] = mix(whole).view(np.int64)
     return core, span
 
 
+def _strings(prefixes: Prefixes, text: bytes, start: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, lies inside the text) of the `width` strings of every stretch."""
+    at = start[:, None] + np.arange(width)
+    last = len(text) - LENGTH
+    value = np.empty(at.shape, np.int64)
+    for these, base in _segments(start):
+        prefixes.load(np.frombuffer(text[base:base + SEGMENT + width - 1 + LENGTH], np.uint8))
+        mine = np.clip(at[these], 0, last) - base
+        value[these] = prefixes.at(mine, mine + LENGTH).view(np.int64)
+    return value, (at >= 0) & (at <= last)
+
+
+_FINE = "k long, h long, start int, core long, span long, strings array<long>"
+
+
+def _fine_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fine stretches of the wanted stretches of each text, with the hashes of their strings (NULL: outside)."""
+    prefixes = Prefixes()
+    for batch in batches:
+        out: list[list] = [[np.empty(0, np.int64)] for _ in range(5)]
+        strings, inside = [np.empty((0, FINE), np.int64)], [np.empty((0, FINE), bool)]
+        lists = column(batch, "wanted").to_pylist()
+        for k, h, text, wanted in zip(column(batch, "k").to_pylist(), column(batch, "h").to_pylist(), texts(batch), lists):
+            start = np.unique(np.array(wanted, np.int64)[:, None] + np.arange(0, STRETCH, FINE))
+            start = start[(start + FINE > 0) & (start + LENGTH <= len(text))]
+            core, span = _hashes(prefixes, text, start, FINE)
+            for values, new in zip(out, (np.full(len(start), k), np.full(len(start), h), start, core, span)):
+                values.append(np.asarray(new, np.int64))
+            value, valid = _strings(prefixes, text, start, FINE)
+            strings.append(value)
+            inside.append(valid)
+        k, h, start, core, span = (np.concatenate(x) for x in out)
+        flat = pa.array(np.concatenate(strings).ravel(), mask=~np.concatenate(inside).ravel())
+        edge = pa.array(np.arange(len(start) + 1, dtype=np.int32) * FINE)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(k), pa.array(h), pa.array(start.astype(np.int32)), pa.array(core), pa.array(span), pa.ListArray.from_arrays(edge, flat)],
+            names=["k", "h", "start", "core", "span", "strings"],
+        )
+
+
 _MEMBERS = "bucket long, k long, h long, start int, bytes binary"
 
 
@@ -290,6 +340,60 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+_OWN = ("k", "h", "start")
+
+
+def _distinct(stretches: DataFrame) -> DataFrame:
+    """Every distinct stretch, how often it occurs and its first place."""
+    return written(
+        stretches.groupBy("core", "span").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(*_OWN)).alias("first")), "distinct"
+    )
+
+
+def _twins(stretches: DataFrame, distinct: DataFrame, width: int, previous: bool) -> DataFrame:
+    """Byte spans of stretches that are equal as a whole: all of their strings occur elsewhere."""
+    copies = distinct.filter("c > 1").select(F.col("core").alias("c1"), F.col("span").alias("s1"), "first")
+    twins = stretches.join(copies, (F.col("core") == F.col("c1")) & (F.col("span") == F.col("s1")))
+    if previous:
+        twins = twins.filter(F.struct(*_OWN) != F.col("first"))
+    a, b = F.greatest("start", F.lit(0)), F.col("start") + F.lit(width - 1 + LENGTH)
+    return twins.select("k", "h", a.cast("int").alias("a"), b.cast("int").alias("b"))
+
+
+def _counted_spans(texts_of: DataFrame, hot: DataFrame, previous: bool) -> DataFrame:
+    """Byte spans of repeated strings in the stretches `hot` of hot cores, without gathering a core.
+
+    Equal strings lie in fine stretches with equal cores, as they do in stretches. A fine stretch alone with its
+    core has no repeated string; of the others one of each kind gives its strings to the count.
+    """
+    wanted = hot.groupBy(F.col("k").alias("wk"), F.col("h").alias("wh")).agg(F.collect_set("start").alias("wanted"))
+    met = texts_of.join(wanted, (F.col("k") == F.col("wk")) & (F.col("h") == F.col("wh")))
+    fine = written(met.select("k", "h", "text", "wanted").mapInArrow(_fine_rows, _FINE), "fine")
+    distinct = _distinct(fine)
+    several = written(distinct.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "several")
+    firsts = distinct.join(several, "core", "left_semi").select(F.col("core").alias("c1"), F.col("first.*"))
+    firsts = firsts.withColumnsRenamed({name: f"{name}1" for name in _OWN})
+    same = (F.col("core") == F.col("c1")) & (F.col("k") == F.col("k1")) & (F.col("h") == F.col("h1")) & (F.col("start") == F.col("start1"))
+    strings = (
+        fine.join(firsts, same).select("core", "k", "h", "start", F.posexplode("strings").alias("nth", "string"))
+        .filter("string IS NOT NULL")
+        .select("core", "string", F.struct("k", "h", (F.col("start") + F.col("nth")).alias("start")).alias("at"))
+    )
+    strings = written(strings, "strings")
+    again = written(
+        strings.groupBy(F.col("core").alias("c1"), F.col("string").alias("s1"))
+        .agg(F.min("at").alias("least"), F.max("at").alias("most")).filter("least < most").select("c1", "s1", "least"),
+        "again",
+    )
+    repeated = strings.join(again, (F.col("core") == F.col("c1")) & (F.col("string") == F.col("s1")))
+    if previous:
+        repeated = repeated.filter("at > least")
+    a = F.col("at.start")
+    return _twins(fine, distinct, FINE, previous).union(
+        repeated.select("at.k", "at.h", a.alias("a"), (a + LENGTH).cast("int").alias("b"))
+    )
+
+
 def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, DataFrame]:
     """(per row: doc_id, k, h, n_bytes, sha of the whole text), (k, h, spans array<struct<a,b>> in bytes)."""
     small_batches(docs.sparkSession)
@@ -310,20 +414,18 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, Data
     release(docs.sparkSession)
     stretches = written(some.mapInArrow(_stretch_rows, _STRETCHES), "stretches")
 
-    own = F.struct("k", "h", "start")
-    distinct = written(
-        stretches.groupBy("core", "span").agg(F.count(F.lit(1)).alias("c"), F.min(own).alias("first")), "distinct"
-    )
-    several = distinct.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = written(
-        distinct.join(several.select("core"), "core", "left_semi").select("core", "first.*", "c"), "members"
-    )
+    distinct = _distinct(stretches)
+    # Written, so that the join has two plain sides and a core with many stretches can be split.
+    several = written(distinct.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "several")
+    members = written(distinct.join(several, "core").select("core", "first.*", (F.col("n") > HOT).alias("hot")), "members")
     release(docs.sparkSession)
+    texts_of = some.select("k", "h", "text").dropDuplicates(["k", "h"])
+    hot, members = members.filter("hot"), members.filter("NOT hot")
+    counted = [_counted_spans(texts_of, hot, previous)] if hot.limit(1).count() else []
     buckets = max(1, -(-members.count() // BUCKET))
     wanted = members.groupBy(F.col("k").alias("wk"), F.col("h").alias("wh")).agg(
         F.collect_list(F.struct("core", "start")).alias("wanted")
     )
-    texts_of = some.select("k", "h", "text").dropDuplicates(["k", "h"])
     bytes_of = (
         texts_of.join(wanted, (F.col("k") == F.col("wk")) & (F.col("h") == F.col("wh")))
         .select("k", "h", "text", "wanted")
@@ -331,15 +433,8 @@ def repeated_spans(docs: DataFrame, keep: str = "none") -> tuple[DataFrame, Data
     )
     sorted_spans = bytes_of.groupBy("bucket").applyInArrow(_bucket_spans(previous), "k long, h long, a int, b int")
 
-    # Stretches that are equal as a whole: all of their strings occur elsewhere.
-    copies = distinct.filter("c > 1").select(F.col("core").alias("c1"), F.col("span").alias("s1"), "first")
-    twins = stretches.join(copies, (F.col("core") == F.col("c1")) & (F.col("span") == F.col("s1")))
-    if previous:
-        twins = twins.filter(own != F.col("first"))
-    a, b = F.greatest("start", F.lit(0)), F.col("start") + F.lit(STRETCH - 1 + LENGTH)
-    whole = twins.select("k", "h", a.cast("int").alias("a"), b.cast("int").alias("b"))
     spans = (
-        whole.union(sorted_spans).groupBy("k", "h").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+        reduce(DataFrame.union, [_twins(stretches, distinct, STRETCH, previous), sorted_spans, *counted]).groupBy("k", "h").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
         .select(F.col("k").alias("sk"), F.col("h").alias("sh"), "spans")
     )
     with_text = some.select("k", "h", "text").join(spans, (F.col("k") == F.col("sk")) & (F.col("h") == F.col("sh")))

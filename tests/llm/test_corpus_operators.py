@@ -137,13 +137,43 @@ def passages(prose):
     return texts
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 1])
 @pytest.mark.parametrize("keep", ["none", "first"])
-def test_suffix_repeats(spark, passages, keep):
+def test_suffix_repeats(spark, monkeypatch, passages, keep, hot):
+    """Ranked in buckets, and with every core settled by counts."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     df = spark.createDataFrame(list(enumerate(passages)), "doc_id long, text string")
     got = suffix_dedup.remove_repeats(df, keep).orderBy("doc_id").collect()
     assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _repeats(passages, keep == "first")
 
 
+@pytest.mark.parametrize("keep", ["none", "first"])
+def test_suffix_hot_core(spark, monkeypatch, prose, keep):
+    """A passage in a third of all rows, each time in other surroundings: no bucket takes more than a cold core."""
+    monkeypatch.setattr(suffix_dedup, "HOT", 20)
+    most, rank = [], suffix_dedup._bucket_spans
+
+    def watched(previous):
+        ranked = rank(previous)
+
+        def spans(key, group):
+            assert group.num_rows <= 40
+            return ranked(key, group)
+
+        most.append(previous)
+        return spans
+
+    monkeypatch.setattr(suffix_dedup, "_bucket_spans", watched)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", 1)
+    passage, few = prose(990, 120)[:431], prose(991, 120)[:450]
+    texts = [f"{prose(1000 + i, 15)} {passage}{prose(1200 + i, 15)}" if i % 3 == 0 else prose(1400 + i, 60) for i in range(180)]
+    texts += [f"{prose(1700 + i, 9)}-{few}-{prose(1710 + i, 9)}" for i in range(3)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(6)
+    got = suffix_dedup.remove_repeats(df, keep).orderBy("doc_id").collect()
+    assert most == [keep == "first"]
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got] == _repeats(texts, keep == "first")
+
+
 def test_suffix_cut_texts(spark, passages, edge_docs, no_docs):
     df = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(passages)], "doc_id long, text string, n_chars int")
     rows = {r.doc_id: r for r in suffix_dedup.without_repeats(df).collect()}
