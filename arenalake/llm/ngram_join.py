@@ -297,9 +297,10 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         keys.withColumn("leader", F.first(F.struct("doc_id", "kind")).over(drawn))
         .withColumn("next", F.lead("doc_id").over(drawn))
         .filter((F.col("leader.doc_id") != F.col("doc_id")) | F.col("next").isNotNull())
-        .select("key", "kind", "doc_id", F.col("leader.doc_id").alias("leader"), F.col("leader.kind").alias("leader_kind"))
+        .select("shard", "key", "kind", "doc_id", F.col("leader.doc_id").alias("leader"), F.col("leader.kind").alias("leader_kind"))
     )
-    lists = written(led.distinct(), "lists")
+    # With the range among its columns, distinct needs no exchange either.
+    lists = written(led.distinct().drop("shard"), "lists")
     release(spark)
     # Members of the larger size alone are not linked by a subset.
     ties = lists.filter((F.col("leader_kind") == SMALLER) & (F.col("doc_id") != F.col("leader"))).select(
