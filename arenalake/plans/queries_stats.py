@@ -13,7 +13,7 @@ from arenalake.plans.catalog import Catalog, round_sql
 from arenalake.plans.gold import PLAYER
 from arenalake.plans.proxy import px_intervals, with_px
 from arenalake.plans.queries_flow import stats_table
-from arenalake.plans.queries_gold import PLAYER_STATS_CTE
+from arenalake.plans.queries_gold import PLAYER_STATS_CTE, player_stats
 from arenalake.plans.queries_relational import HASH_SQL
 from arenalake.workspace import written
 
@@ -189,7 +189,7 @@ _FEATURES_CTE = f""",
 
 def features(spark: SparkSession, d: str) -> DataFrame:
     """Model rows written once; training passes read them several times."""
-    return written(regression.select_features(stats_table(spark, d), PLAYER), "features")
+    return written(regression.select_features(player_stats(spark, d, with_build=False), PLAYER), "features")
 
 
 @query("ml01_feature_selection", _sql("SELECT * EXCLUDE (split_at, fold_at) FROM feat", _FEATURES_CTE))
@@ -310,9 +310,9 @@ def _(spark, d):
     return _rounded(regression.residual_scatter(_line_residuals(spark, d), PLAYER), 4)
 
 
-def _one_feature(spark, d, estimator, grid=None):
+def _one_feature(rows, estimator, grid=None):
     return regression.linear_model(
-        features(spark, d).select(*PLAYER, "cs", "total_gold"), "total_gold", PLAYER, ["cs"], {"ss": ["cs"]}, estimator, grid
+        rows.select(*PLAYER, "cs", "total_gold"), "total_gold", PLAYER, ["cs"], {"ss": ["cs"]}, estimator, grid
     )
 
 
@@ -327,9 +327,10 @@ _TRAIN_CTE = _LINE_CTE + """,
     UNION ALL SELECT 'Ridge', {round_sql("my", 4)}, {round_sql("(n * c / (n + 5))", 4)} FROM whole
     UNION ALL SELECT 'Lasso', {round_sql("my", 4)}, {round_sql("(sign(c) * greatest(abs(c) - 5, 0))", 4)} FROM whole""", _TRAIN_CTE))
 def _(spark, d):
-    rows = []
+    # Every estimator trains on the same written rows.
+    data, rows = features(spark, d), []
     for estimator in regression.ESTIMATORS:
-        model = _one_feature(spark, d, estimator, [5]).model
+        model = _one_feature(data, estimator, [5]).model
         rows.append((estimator, model.intercept, float(model.coef[0])))
     return _rounded(spark.createDataFrame(rows, "estimator string, intercept double, coef double"), 4)
 
@@ -351,7 +352,7 @@ _CV_CTE = _TRAIN_CTE + """,
 @query("ml08_cross_validation", _sql(
     f"SELECT {round_sql('avg(r2)', 6)} AS cv_score FROM scored", _CV_CTE.format(alphas="[0.0]")))
 def _(spark, d):
-    report = _one_feature(spark, d, "OLS")
+    report = _one_feature(features(spark, d), "OLS")
     return _rounded(spark.createDataFrame([(report.cv_score,)], "cv_score double"))
 
 
@@ -359,7 +360,7 @@ def _(spark, d):
     f"SELECT alpha, {round_sql('avg(r2)', 6)} AS cv_score FROM scored GROUP BY alpha",
     _CV_CTE.format(alphas="[0.0, 0.01, 0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0]")))
 def _(spark, d):
-    report = _one_feature(spark, d, "Ridge")
+    report = _one_feature(features(spark, d), "Ridge")
     return _rounded(spark.createDataFrame(list(report.cv_scores.items()), "alpha double, cv_score double"))
 
 
@@ -368,7 +369,7 @@ def _(spark, d):
     FROM (SELECT count(*) AS n, sum(power(y - b0 - b1 * x, 2)) AS sse, var_pop(y) * count(*) AS sst
           FROM xy CROSS JOIN (SELECT regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM train) WHERE split_at < 0.2)""", _TRAIN_CTE))
 def _(spark, d):
-    report = _one_feature(spark, d, "OLS")
+    report = _one_feature(features(spark, d), "OLS")
     scores = report.model.holdout(report.test)
     return _rounded(_rounded(_rounded(scores, 6, "test_r2"), 2, "mse"), 4, "rmse")
 

@@ -183,3 +183,16 @@ def test_null_levels_are_refused(spark, data):
 def test_scatter_has_every_row(data):
     rows = R.ols_hc3(data, R.plan_features(data, ["a"]), "y").model.residuals(data)
     assert R.residual_scatter(rows, ["id"]).count() == data.count() > R.residual_scatter(rows, ["id"], 0.3).count()
+
+
+def test_estimators_train_on_rows_written_once(spark):
+    """All estimators of the comparison read one written frame; nothing else is written on the way."""
+    import os
+
+    import __spark_entry__ as entry
+    from arenalake.workspace import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    assert entry.queries()["ml07_estimators"](spark, "/root/testdata/sf0.001").count() == 3
+    new = sorted(name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before)
+    assert new == ["features"]
