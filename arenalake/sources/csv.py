@@ -73,6 +73,9 @@ def read_inferred(spark: SparkSession, glob: str, header: bool = True) -> DataFr
     return spark.read.options(**options).csv(glob)
 
 
-def raw_stream(spark: SparkSession, root: str, table: str, record_source: str = RECORD_SOURCE) -> DataFrame:
-    """Bronze rows of one known source."""
-    return read_stream(spark, landing_glob(root, table), raw_schema(table), record_source)
+def raw_stream(
+    spark: SparkSession, root: str, table: str, record_source: str = RECORD_SOURCE, batch_bytes: int | None = None
+) -> DataFrame:
+    """Bronze rows of one known source; `batch_bytes` bounds the files of a micro-batch, which has one at least."""
+    options = {"maxBytesPerTrigger": str(batch_bytes)} if batch_bytes else None
+    return read_stream(spark, landing_glob(root, table), raw_schema(table), record_source, options=options)

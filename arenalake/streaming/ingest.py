@@ -13,6 +13,9 @@ from arenalake.sources.csv import RECORD_SOURCE, raw_stream
 from arenalake.sources.tables import stream_table, table_path
 
 
+# Landed (compressed) bytes a writing task gets where few tasks write a micro-batch.
+SPREAD_BYTES = 32 << 20
+
 # Batch number -> observed metrics by name.
 Observed = dict[int, dict[str, dict[str, int]]]
 
@@ -58,9 +61,10 @@ def ingest(
 ) -> StreamingQuery:
     """Land new files of one source in bronze.
 
-    A gzip file is one task; `partitions` spreads the rows of few large files before writing.
+    A gzip file is one task; `partitions` spreads the rows of few large files before writing. So few tasks take
+    a bounded micro-batch at a time, however much has landed.
     """
-    rows = raw_stream(spark, landing, table, record_source)
+    rows = raw_stream(spark, landing, table, record_source, partitions * SPREAD_BYTES if partitions else None)
     if partitions:
         rows = rows.repartition(partitions)
     return append_available(rows, table_path(root, "bronze", table), checkpoint_path(root, "bronze", table))

@@ -206,3 +206,20 @@ def test_gold_reads_telemetry_where_it_lies(spark, lake):
         assert stats.exceptAll(gold.matchend_player_stats(*plain, items).drop("item_build")).count() == 0 and stats.count() == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_ingest_takes_bounded_batches(spark, tmp_path, monkeypatch):
+    """Few writing tasks get a bounded micro-batch each time, so their input does not grow with what landed."""
+    from arenalake.streaming import ingest as streams
+
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "lake")
+    for part in range(5):
+        rows = [{"id": f"{part}-{i}", "match_id": "m", "participant_id": "1.0"} for i in range(20)]
+        land(landing, "players", rows, f"part{part}")
+    monkeypatch.setattr(streams, "SPREAD_BYTES", 1)
+    run = streams.ingest(spark, landing, root, "players", partitions=2)
+    batches = [p.numInputRows for p in run.recentProgress if p.numInputRows]
+    assert batches == [20] * 5
+    bronze = tables.read_table(spark, root, "bronze", "players", schemas.bronze_schema("players"))
+    assert sorted(r.id for r in bronze.collect()) == sorted(f"{p}-{i}" for p in range(5) for i in range(20))
+    assert not [p for p in streams.ingest(spark, landing, root, "players", partitions=2).recentProgress if p.numInputRows]
