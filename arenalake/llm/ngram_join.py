@@ -13,8 +13,9 @@ sets with too many empty parts list those too, so no link is lost.
 The boundary is chosen by cost from the histogram of set sizes. Equal sets are one set from the
 start. A heavy list is never turned into all its pairs: members are first checked against one leader
 each, then against the leaders of their other lists, and afterwards only pairs of the same list that are
-still in different classes are met; a parity sketch, which never overstates how far two sets differ,
-decides which of them are worth an exact intersection.
+still in different classes are met; parity sketches, which never overstate how far two sets differ,
+decide which of them are worth an exact intersection: a short one of fixed size first, then one as long
+as the set needs.
 
 Defined cases: NULL, empty and blank texts have no shingle, link with nothing and are their own
 class; fewer words than a shingle count as one shingle; repeated rows are one set; rows that share a
@@ -31,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arenalake.llm.common import docs_of, new_dir, release, semi, written
@@ -200,7 +201,14 @@ def _odd_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-_ELEMENTS = "doc_id long, size long, least int, items array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
+def _wide_sketch(s: np.ndarray) -> np.ndarray:
+    """A parity sketch with at least a bit per element: 2^n bits, which fold to 2^(n-1) by XOR of the halves."""
+    n = 1 << max(6, int(len(s) - 1).bit_length())
+    bits = np.bincount((mix(s) & np.uint64(n - 1)).astype(np.int64), minlength=n).astype(np.uint8) & 1
+    return np.packbits(bits).view(np.int64)
+
+
+_ELEMENTS = "doc_id long, size long, least int, items array<long>, wide array<long>, " + ", ".join(f"s{i} long" for i in range(_SKETCH))
 
 
 def _element_rows(sim: Similarity):
@@ -212,9 +220,10 @@ def _element_rows(sim: Similarity):
             least = [_heavy_keys(s, sim)[1] if len(s) else 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(least, pa.int32()),
-                 pa.array([signed(s) for s in sets], pa.list_(pa.int64()))]
+                 pa.array([signed(s) for s in sets], pa.list_(pa.int64())),
+                 pa.array([_wide_sketch(s) for s in sets], pa.list_(pa.int64()))]
                 + [pa.array(sketches[:, i]) for i in range(_SKETCH)],
-                names=["doc_id", "size", "least", "items", *[f"s{i}" for i in range(_SKETCH)]],
+                names=["doc_id", "size", "least", "items", "wide", *[f"s{i}" for i in range(_SKETCH)]],
             )
 
     return rows
@@ -240,19 +249,38 @@ def boundary(reps: DataFrame, sim: Similarity) -> int:
 _ROUNDS = 4  # blocks of pairs checked one after the other
 
 
+def _folded(sketch: str, n) -> Column:
+    """`sketch` at `n` longs, a power of two not above its own size."""
+    column = F.col(sketch)
+    fold = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.aggregate(
+        F.sequence(i, F.size(column) - 1, n), F.lit(0).cast("long"), lambda x, j: x.bitwiseXOR(F.get(column, j))
+    ))
+    return F.when(F.size(column) == n, column).otherwise(fold)
+
+
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two wide sketches differ, at the size of the shorter one."""
+    n = F.least(F.size(a), F.size(b))
+    bits = F.zip_with(_folded(a, n), _folded(b, n), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+
+
 def _verified(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough, by exact intersection.
 
-    The set of `a` travels to that of `b` for every pair, which is several times the texts where groups are
-    large. Pairs are dealt into blocks by hash; a block's sets leave the disk before the next one travels.
+    The set of `a` travels to that of `b`, so first a 64th of it does: the wide sketch rules out pairs of large
+    sets, to which the short one is blind. The others are dealt into blocks by hash; a block's sets leave the
+    disk before the next one travels.
     """
-    side = lambda end: items.select(F.col("doc_id").alias(end), F.col("items").alias(f"items_{end}"))
+    side = lambda end, *columns: items.select(F.col("doc_id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
     common = F.size(F.array_intersect("items_a", "items_b"))
     total = F.size("items_a") + F.size("items_b")
-    asked, similar = written(pairs.select("a", "b"), "asked"), []
+    sketched = pairs.select("a", "b").join(side("a", "size", "wide"), "a").join(side("b", "size", "wide"), "b")
+    possible = _apart("wide_a", "wide_b") * (sim.den + sim.num) <= (F.col("size_a") + F.col("size_b")) * (sim.den - sim.num)
+    asked, similar = written(sketched.filter(possible).select("a", "b"), "asked"), []
     for n in range(_ROUNDS):
         block = asked.filter(F.pmod(F.xxhash64("a", "b"), F.lit(_ROUNDS)) == n)
-        both = block.join(side("a"), "a").join(side("b"), "b")
+        both = block.join(side("a", "items"), "a").join(side("b", "items"), "b")
         similar.append(written(both.filter((sim.num + sim.den) * common >= sim.num * total).select("a", "b"), "similar"))
     return reduce(DataFrame.union, similar)
 
@@ -285,14 +313,16 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     own = docs.filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
 
     # Lists with two or more members. Light lists are led by a set of the smaller size, which links with
-    # every member; the leader of a heavy list is drawn per list, so no set leads them all.
+    # every member: the one of the smallest id, so that the lists of a group share their leaders and give few
+    # ties. The leader of a heavy list is drawn per list, so no set leads them all.
     # Keys travel by range and are laid out where they arrive; the ranked window needs no other exchange.
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = own.select("doc_id", "text").mapInArrow(_key_rows(sim, limit, shards), _KEYS).repartition("shard")
     keys = packed.select("shard", F.inline(F.arrays_zip("keys", "ids"))).select(
         "shard", F.shiftright("keys", 2).alias("key"), F.col("keys").bitwiseAND(_KIND).cast("int").alias("kind"), F.col("ids").alias("doc_id")
     )
-    drawn = Window.partitionBy("shard", "key").orderBy("kind", F.xxhash64("key", "doc_id"), "doc_id")
+    lot = F.when(F.col("kind") == PART, F.xxhash64("key", "doc_id"))
+    drawn = Window.partitionBy("shard", "key").orderBy("kind", lot, "doc_id")
     led = (
         keys.withColumn("leader", F.first(F.struct("doc_id", "kind")).over(drawn))
         .withColumn("next", F.lead("doc_id").over(drawn))

@@ -8,6 +8,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arenalake.llm import decontaminate, graph, language_model, ngram_join, suffix_dedup
 from arenalake.llm.ngram_join import Similarity
@@ -98,6 +99,29 @@ def test_light_subsets_are_exact():
         assert keys(a)
 
 
+def test_wide_sketches_rule_out_large_sets(spark):
+    """Sketches of any two sizes never overstate a difference, and unlike large sets do not reach the exact check."""
+    rng = np.random.default_rng(3)
+    elements = rng.integers(1, 1 << 63, 6000, np.uint64)
+    sim = ngram_join.Similarity(num=80)
+    sets = [np.sort(x) for x in (elements[:2000], elements[100:2100], elements[:2500], elements[4000:6000], elements[:40], elements[:41])]
+    cells = [(i, len(s), [int(x) for x in s.view(np.int64)], [int(x) for x in ngram_join._wide_sketch(s)]) for i, s in enumerate(sets)]
+    items = spark.createDataFrame(cells, "doc_id long, size long, items array<long>, wide array<long>").cache()
+    pairs = [(a, b) for a in range(6) for b in range(a) if sim.num * max(len(sets[a]), len(sets[b])) <= sim.den * min(len(sets[a]), len(sets[b]))]
+    asked = spark.createDataFrame(pairs, "a long, b long")
+    end = lambda e: items.select(F.col("doc_id").alias(e), F.col("wide").alias(f"wide_{e}"))
+    found = asked.join(end("a"), "a").join(end("b"), "b").withColumn("apart", ngram_join._apart("wide_a", "wide_b"))
+    apart = {(r.a, r.b): r.apart for r in found.collect()}
+    for a, b in pairs:
+        assert apart[a, b] <= len(np.setxor1d(sets[a], sets[b]))
+    # The short sketch cannot tell these from linked sets.
+    assert np.bitwise_count(ngram_join._odd_sketch(sets[3]) ^ ngram_join._odd_sketch(sets[0])).sum() * 180 <= 4000 * 20
+    assert apart[3, 0] * 180 > 4000 * 20
+    similar = {(r.a, r.b) for r in ngram_join._verified(asked, items, sim).collect()}
+    assert similar == {(a, b) for a, b in pairs if len(np.intersect1d(sets[a], sets[b])) * 180 >= 80 * (len(sets[a]) + len(sets[b]))}
+    assert (1, 0) in similar and (2, 0) in similar and (3, 0) not in similar
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7), (100, 101)]
     got = {r.id: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
