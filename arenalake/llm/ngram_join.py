@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arenalake.llm.common import docs_of, new_dir, release, semi, written
+from arenalake.llm.common import docs_of, new_dir, release, written
 from arenalake.llm.graph import components
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
 from arenalake.sources.tables import save_bucketed
@@ -338,14 +338,17 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     ).distinct()
     heavy = lists.filter(F.col("kind") == PART).select("key", "doc_id", "leader")
 
-    listed = semi(docs, heavy)
+    # Texts of listed documents are dealt to buckets once; their elements are written where they arrive, and the checks
+    # below join them where they lie.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = heavy.select(F.col("doc_id").alias("known")).distinct()
+    listed = docs.repartition(buckets, "doc_id").join(known, F.col("doc_id") == F.col("known"), "left_semi")
     if full.groupBy("doc_id").count().filter("count > 1").limit(1).count():
         listed = listed.dropDuplicates(["doc_id"])
-    # Elements are dealt to buckets by document once; the checks below join them where they lie.
     name = f"items_{uuid.uuid4().hex}"
     elements = listed.mapInArrow(_element_rows(sim), _ELEMENTS)
     with dropping_shuffles(spark):
-        items = save_bucketed(elements, name, ["doc_id"], int(spark.conf.get("spark.sql.shuffle.partitions")), path=new_dir(spark, "items"))
+        items = save_bucketed(elements, name, ["doc_id"], buckets, path=new_dir(spark, "items"), dealt=True)
     release(spark)
     sketch = [f"s{i}" for i in range(_SKETCH)]
     facts = lambda suffix: items.select(*[F.col(c).alias(f"{c}{suffix}") for c in ("doc_id", "size", "least", *sketch)])

@@ -53,14 +53,16 @@ def refresh_table(df: DataFrame, root: str, layer: str, table: str, cluster_by:
 
 
 def save_bucketed(
-    df: DataFrame, name: str, keys: list[str], buckets: int, sort: list[str] | None = None, path: str | None = None
+    df: DataFrame, name: str, keys: list[str], buckets: int, sort: list[str] | None = None, path: str | None = None,
+    dealt: bool = False,
 ) -> DataFrame:
     """Save as a bucketed catalog table: joins of two such tables on `keys` need no shuffle, nor do aggregates by them.
 
-    Rows are dealt to the buckets before they are written, so there is one file per bucket. With `path` the files lie
-    there and outlive the catalog entry.
+    Rows are dealt to the buckets before they are written, so there is one file per bucket; `dealt`: they were, by the
+    same keys and number, before a function Spark cannot look into. With `path` the files lie there and outlive the
+    catalog entry.
     """
-    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*(sort or keys))
+    writer = (df if dealt else df.repartition(buckets, *keys)).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*(sort or keys))
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return df.sparkSession.table(name)
 
