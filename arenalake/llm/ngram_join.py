@@ -32,11 +32,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from arenalake.llm.common import docs_of, new_dir, release, written
-from arenalake.llm.graph import components
+from arenalake.llm.graph import components, merged
 from arenalake.llm.words import WordHashes, column, lower_words, mix, shingles, signed, small_batches, texts
 from arenalake.sources.tables import save_bucketed
 from arenalake.workspace import dropping_shuffles
@@ -104,13 +104,21 @@ class Similarity:
         return sum(parts for _, parts, _ in self.classes(size))
 
 
-def _light_keys(s: np.ndarray, others: list[int], sim: Similarity) -> np.ndarray:
+class Picks(dict):
+    """(n, c) -> every choice of c among n; light sets are small, so there are few of them."""
+
+    def __missing__(self, of: tuple[int, int]) -> np.ndarray:
+        n, c = of
+        picks = self[of] = np.array(list(combinations(range(n), c)), dtype=np.int64).reshape(-1, c)
+        return picks
+
+
+def _light_keys(s: np.ndarray, others: list[int], sim: Similarity, picks: Picks | None = None) -> np.ndarray:
     """Keys (both sizes, subset) of the fixed-size subsets shared with linked sets of the sizes `others`."""
+    picks = Picks() if picks is None else picks
     keys, n = [np.empty(0, np.uint64)], len(s)
     for other in others:
-        c = sim.overlap(n, other)
-        picks = np.array(list(combinations(range(n), c)), dtype=np.int64).reshape(-1, c)
-        sums = mix(s)[picks].sum(axis=1, dtype=np.uint64)
+        sums = mix(s)[picks[n, sim.overlap(n, other)]].sum(axis=1, dtype=np.uint64)
         keys.append(mix(sums ^ np.uint64((min(n, other) << 32) | max(n, other))))
     return np.concatenate(keys)
 
@@ -163,7 +171,7 @@ def _key_rows(sim: Similarity, limit: int, shards: int):
     """
 
     def rows(batches):
-        hashes = WordHashes()
+        hashes, picks = WordHashes(), Picks()
         for batch in batches:
             ids, keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
             for doc_id, text in zip(column(batch, "doc_id").to_pylist(), texts(batch)):
@@ -174,8 +182,8 @@ def _key_rows(sim: Similarity, limit: int, shards: int):
                 found = []
                 if n <= limit:
                     others = sim.partners(n)
-                    found.append((SMALLER, _light_keys(s, [x for x in others if n <= x <= limit], sim)))
-                    found.append((LARGER, _light_keys(s, [x for x in others if x < n], sim)))
+                    found.append((SMALLER, _light_keys(s, [x for x in others if n <= x <= limit], sim, picks)))
+                    found.append((LARGER, _light_keys(s, [x for x in others if x < n], sim, picks)))
                 if n * sim.den > limit * sim.num:
                     found.append((PART, _heavy_keys(s, sim)[0]))
                 for kind, key in found:
@@ -246,7 +254,8 @@ def boundary(reps: DataFrame, sim: Similarity) -> int:
     return min(range(1, sim.light_limit + 1), key=lambda limit: (cost(limit), -limit))
 
 
-_ROUNDS = 4  # blocks of pairs checked one after the other
+_ROUNDS = 4  # most blocks of pairs checked one after the other
+_BLOCK = 64 << 20  # bytes of sets worth a block of their own
 
 
 def _folded(sketch: str, n) -> Column:
@@ -277,9 +286,12 @@ def _verified(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
     total = F.size("items_a") + F.size("items_b")
     sketched = pairs.select("a", "b").join(side("a", "size", "wide"), "a").join(side("b", "size", "wide"), "b")
     possible = _apart("wide_a", "wide_b") * (sim.den + sim.num) <= (F.col("size_a") + F.col("size_b")) * (sim.den - sim.num)
-    asked, similar = written(sketched.filter(possible).select("a", "b"), "asked"), []
-    for n in range(_ROUNDS):
-        block = asked.filter(F.pmod(F.xxhash64("a", "b"), F.lit(_ROUNDS)) == n)
+    travels = Observation()
+    asked = sketched.filter(possible).observe(travels, F.sum(8 * F.col("size_a")).alias("bytes")).select("a", "b")
+    asked, similar = written(asked, "asked"), []
+    rounds = min(_ROUNDS, 1 + (travels.get["bytes"] or 0) // _BLOCK)
+    for n in range(rounds):
+        block = asked.filter(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == n)
         both = block.join(side("a", "items"), "a").join(side("b", "items"), "b")
         similar.append(written(both.filter((sim.num + sim.den) * common >= sim.num * total).select("a", "b"), "similar"))
     return reduce(DataFrame.union, similar)
@@ -366,19 +378,23 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
     release(spark)
     # First star round: each member and its nearest leader.
     nearest = stars.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
-    links = written(_verified(nearest, items, sim).union(ties), "links")
+    classes = written(components(_verified(nearest, items, sim).union(ties)), "classes")
     release(spark)
-    classes = components(links)
 
     def class_of(df: DataFrame, end: str, name: str) -> DataFrame:
         known = classes.select(F.col("id").alias("cid"), F.col("component").alias("cc"))
         return df.join(known, F.col(end) == F.col("cid"), "left").withColumn(name, F.coalesce("cc", end)).drop("cid", "cc")
 
+    def joined_by(pairs: DataFrame) -> DataFrame:
+        """The classes, joined up by the similar ones among `pairs` of members of different classes."""
+        similar = written(_verified(pairs, items, sim), "similar")
+        ends = class_of(class_of(similar, "a", "class_a"), "b", "class_b")
+        return merged(classes, ends.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")))
+
     # Second star round: leaders whose class a member is not in yet.
     rest = class_of(class_of(stars, "a", "class_a"), "b", "class_b").filter("class_a != class_b")
-    links = written(links.union(_verified(rest, items, sim)), "links")
+    classes = joined_by(rest)
     release(spark)
-    classes = components(links)
 
     # What is left: pairs of a list in different classes, met and judged inside the join.
     placed = class_of(heavy, "doc_id", "class").drop("leader")
@@ -394,7 +410,7 @@ def jaccard_classes(docs: DataFrame, sim: Similarity = Similarity()) -> DataFram
         # Linked sets share at least so many listed parts in a class.
         .filter(F.col("equal") >= F.greatest("la", "lb"))
     )
-    classes = written(components(links.union(_verified(second, items, sim))), "classes")
+    classes = joined_by(second)
     spark.sql(f"DROP TABLE {name}")
 
     # Written, so that the join by fingerprint has two plain sides and a group of copies can be split.
