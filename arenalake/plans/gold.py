@@ -256,25 +256,25 @@ def champion_item_counts(states: DataFrame, task_rows: int = CHAMPION_ROWS) -> D
 
 
 def _cell_counts(states: DataFrame) -> DataFrame:
-    """Cells are whole numbers: -1 the player, an item its id, a pair the smaller id + 1 beside the larger one."""
-    pairs = [
-        F.when(
-            F.col(a) != F.col(b),
-            F.shiftleft(F.least(a, b).cast("long") + 1, _ITEM_BITS).bitwiseOR(F.greatest(a, b).cast("long")),
-        )
-        for a, b in combinations(ITEM_SLOTS, 2)
-    ]
-    single = [F.col(slot).cast("long") for slot in ITEM_SLOTS]
+    """Cells are whole numbers: -1 the player, an item its id, a pair the smaller id + 1 beside the larger one.
+
+    Two explodes of short arrays, for 29 columns side by side make a method too long to be compiled: `own` is
+    the player and its items in order, `hi` what stands behind one of them, and NULL for itself. Players of a
+    champion lie together, so that the sums being added to are few at a time.
+    """
+    items = F.sort_array(F.array_compact(F.array(*ITEM_SLOTS)))
+    measures = ["champion_name", "picks", "wins", "points", "lives"]
+    players = states.sortWithinPartitions("champion_name").select(*measures, F.concat(F.array(F.lit(-1)), items).alias("own"))
+    rest = F.slice("own", F.col("i") + 2, F.size("own") - F.col("i") - 1)
+    behind = F.when(F.col("i") == 0, F.array(F.lit(None).cast("int"))).otherwise(F.concat(F.array(F.lit(None).cast("int")), rest))
+    cells = players.select(*measures, "own", F.posexplode("own").alias("i", "lo")).select(*measures, "lo", F.explode(behind).alias("hi"))
+    pair = F.shiftleft(F.col("lo").cast("long") + 1, _ITEM_BITS).bitwiseOR(F.col("hi").cast("long"))
+    cell = F.when(F.col("hi").isNull(), F.col("lo").cast("long")).otherwise(pair)
     is_single = (F.col("cell") >= 0) & (F.col("cell") < F.lit(1 << _ITEM_BITS))
     scored = F.col("points").isNotNull() & (F.col("lives") != 0)
     first, second = F.shiftright("cell", _ITEM_BITS), F.col("cell").bitwiseAND(F.lit((1 << _ITEM_BITS) - 1))
     counted = (
-        states.select(
-            "champion_name", "picks", "wins", "points", "lives",
-            F.explode(F.array(F.lit(-1).cast("long"), *single, *pairs)).alias("cell"),
-        )
-        # Empty slots.
-        .filter("cell IS NOT NULL")
+        cells.filter("hi IS NULL OR lo <> hi").select(*measures, cell.alias("cell"))
         .groupBy("champion_name", "cell", F.when(is_single, F.col("lives")).alias("lives"))
         .agg(
             F.sum("picks").alias("picks"),
