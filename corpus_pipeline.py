@@ -21,6 +21,8 @@ from arenalake.session import tune
 
 # Near copies: Jaccard similarity of at least 0.8 over five-word shingles.
 NEAR = Similarity(k=5, num=80, den=100)
+# Passages of more words than this are repeats even if they have fewer than 400 bytes.
+WORDS = 50
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +48,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every repeated passage of 400 bytes or more stays at its first place only."""
-    return without_repeats(docs)
+    """Every repeated passage of 400 bytes or more, or of over 50 words, stays at its first place only."""
+    return without_repeats(docs, WORDS)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

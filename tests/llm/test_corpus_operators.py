@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -10,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from arenalake.llm import decontaminate, graph, language_model, ngram_join, suffix_dedup
 from arenalake.llm.ngram_join import Similarity
 from arenalake.llm.words import lower_words
@@ -208,6 +210,70 @@ def test_suffix_cut_texts(spark, passages, edge_docs, no_docs):
     assert suffix_dedup.remove_repeats(no_docs).count() == 0 and suffix_dedup.without_repeats(no_docs).count() == 0
 
 
+def _without_later(texts, size):
+    """Texts without what a 400-byte string or a window of `size` words found before covers, whole characters only."""
+    data, n, strings, windows, out = [t.encode() for t in texts], suffix_dedup.LENGTH, set(), set(), []
+    for b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - n + 1):
+            if b[p:p + n] in strings:
+                gone[p:p + n] = b"\1" * n
+            strings.add(b[p:p + n])
+        words = list(re.finditer(rb"[^\x20\x09-\x0D]+", b))
+        for i in range(len(words) - size + 1):
+            window, a, z = tuple(m[0] for m in words[i:i + size]), words[i].start(), words[i + size - 1].end()
+            if window in windows:
+                gone[a:z] = b"\1" * (z - a)
+            windows.add(window)
+        at, rest = 0, ""
+        for c in b.decode():
+            size_of = len(c.encode())
+            rest += "" if all(gone[at:at + size_of]) else c
+            at += size_of
+        out.append(rest)
+    return out
+
+
+@pytest.mark.parametrize("segment", [suffix_dedup.SEGMENT, 700])
+def test_suffix_passages_of_words(spark, monkeypatch, prose, segment):
+    """Passages of over 50 words are cut although they have fewer than 400 bytes, in pieces of a text too."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdeéö") for _ in range(rng.randint(1, 6)))
+    passages = [[word() for _ in range(n)] for n in (49, 50, 51, 52, 60, 51)]
+    assert all(len(" ".join(p).encode()) < 400 for p in passages)
+    texts = []
+    for i in range(12):
+        own = [prose(2000 + 10 * i + j, 40 + 7 * i) for j in range(7)]
+        texts.append("".join(f"{o} {(' ', '  ', chr(10))[i % 3].join(p)} " for o, p in zip(own, passages)) + own[6])
+    texts += [prose(2200, 300), f"{prose(2200, 300)} more", "ö " * 120, "one two", "", texts[3] + " " + texts[3]]
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", segment)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = [r.text for r in suffix_dedup.without_repeats(df, 50).orderBy("doc_id").collect()]
+    assert got == _without_later(texts, 51)
+    kept = " ".join(" ".join(got).split())
+    assert [kept.count(" ".join(p)) for p in passages] == [12, 12, 1, 1, 1, 1]
+    plain = " ".join(suffix_dedup.without_repeats(df).orderBy("doc_id").collect()[1].text.split())
+    assert all(" ".join(p) in plain for p in passages)
+
+
+def test_suffix_passage_in_a_third(spark, prose):
+    """One passage of words in a third of all rows, and rows alike or without an id."""
+    passage = "ab cd " * 20 + " ".join(f"w{i}" for i in range(20))
+    texts = [f"{prose(3000 + i, 30)} {passage} {prose(3200 + i, 30)}" if i % 3 == 0 else prose(3400 + i, 60) for i in range(90)]
+    df = spark.createDataFrame([*enumerate(texts), (0, texts[0]), (None, texts[3] + " end")], "doc_id long, text string")
+    rows = suffix_dedup.without_repeats(df, 50).collect()
+    holding = [r.doc_id for r in rows if passage in r.text]
+    assert len(rows) == 92 and holding == [None]
+
+
+def test_pipeline_cuts_passages_of_words(spark, prose, sf_dir):
+    passage = " ".join(f"p{i}" for i in range(51))
+    rows = [(i, f"{prose(4000 + i, 90)} {passage} {prose(4100 + i, 90)}", "en", "s") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, docs, sf_dir).collect()}
+    assert out == {0: rows[0][1], **{i: t.replace(passage, "") for i, t, *_ in rows[1:]}}
+
+
 def test_suffix_long_text(spark, prose):
     """Segments of a long text meet without a seam, and repeats lie across their borders."""
     body = prose(5, 220_000)
