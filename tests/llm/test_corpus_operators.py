@@ -274,6 +274,36 @@ def test_pipeline_cuts_passages_of_words(spark, prose, sf_dir):
     assert out == {0: rows[0][1], **{i: t.replace(passage, "") for i, t, *_ in rows[1:]}}
 
 
+def test_suffix_texts_move_once(spark, passages, capsys):
+    """What is returned joins texts with spans that are already written: one exchange a side, no Python step."""
+    df = spark.createDataFrame([(i, t, len(t or "")) for i, t in enumerate(passages)], "doc_id long, text string, n_chars int")
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(name, None) for name in names]
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")
+        capsys.readouterr()
+        suffix_dedup.without_repeats(df, 50).explain()
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange ") == 2 and "InArrow" not in plan
+
+
+def test_suffix_rest(spark):
+    """Spans at the edges, between and around letters of several bytes, none and everything."""
+    text = "äbcdé日本 z"
+    spans = [[], [(0, 2)], [(13, 15)], [(2, 3), (4, 7)], [(0, 15)], [(0, 3), (7, 13)]]
+    df = spark.createDataFrame([(i, text, s) for i, s in enumerate(spans)], "i int, text string, s array<struct<a:int,b:int>>")
+    got = [r.rest for r in df.orderBy("i").select(suffix_dedup._rest(df["text"], df["s"]).alias("rest")).collect()]
+    data, want = text.encode(), []
+    for s in spans:
+        edges = [0, *[x for span in s for x in span], len(data)]
+        want.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])).decode())
+    assert len(data) == 15 and got == want
+
+
 def test_suffix_long_text(spark, prose):
     """Segments of a long text meet without a seam, and repeats lie across their borders."""
     body = prose(5, 220_000)
